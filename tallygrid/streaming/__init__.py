@@ -1,0 +1 @@
+"""Empty on purpose: a survey is rebuilt as a whole up to an end date, nothing streams."""
