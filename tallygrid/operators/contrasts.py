@@ -20,7 +20,7 @@ from tallygrid.functions.names import (
     linear_estimate_name,
     trend_name,
 )
-from tallygrid.operators.effects import SERIES
+from tallygrid.operators.effects import LINE, SERIES
 
 # Widths of the moving windows; the full width of a series is always added.
 YEAR_WINDOWS = (6, 12)
@@ -33,16 +33,12 @@ def with_limits(df: DataFrame, z: float = Z975) -> DataFrame:
     return df.withColumn("lcl", F.col("estimate") - half).withColumn("ucl", F.col("estimate") + half)
 
 
-def estimate(effects: DataFrame, weights: DataFrame) -> DataFrame:
+def estimate(effects: DataFrame) -> DataFrame:
     """Weighted mean effect over the strata, per species and time step."""
     w = F.col("weight")
-    sums = (
-        effects.join(weights.select("species", "stratum", "weight"), ["species", "stratum"])
-        .groupBy(*SERIES, "t", "label")
-        .agg(
-            F.sum(w * F.col("b")).alias("estimate"),
-            F.sum(w * w * F.col("var")).alias("variance"),
-        )
+    sums = effects.groupBy(*SERIES, "t", "label").agg(
+        F.sum(w * F.col("b")).alias("estimate"),
+        F.sum(w * w * F.col("var")).alias("variance"),
     )
     return with_limits(sums)
 
@@ -147,32 +143,23 @@ def moving_trend(
     return with_limits(trends.drop("reference_midpoint"))
 
 
-def linear_trend(fits: DataFrame, weights: DataFrame) -> DataFrame:
+def linear_trend(fits: DataFrame) -> DataFrame:
     """Weighted mean slope over the strata per species and frequency."""
     w = F.col("weight")
-    sums = (
-        fits.join(weights.select("species", "stratum", "weight"), ["species", "stratum"])
-        .groupBy(*SERIES)
-        .agg(
-            F.sum(w * F.col("beta")).alias("estimate"),
-            F.sum(w * w * F.col("var_beta")).alias("variance"),
-        )
+    sums = fits.groupBy(*SERIES).agg(
+        F.sum(w * F.col("beta")).alias("estimate"),
+        F.sum(w * w * F.col("var_beta")).alias("variance"),
     )
     return with_limits(sums)
 
 
-def linear_estimate(fits: DataFrame, weights: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Fitted level of the lines at every time step, weighted over the strata.
-
-    The steps of a species come from ``estimates`` as one short array per series.
-    """
-    steps = estimates.groupBy(*SERIES).agg(F.collect_list(F.struct("t", "label")).alias("steps"))
+def linear_estimate(fits: DataFrame, effects: DataFrame) -> DataFrame:
+    """Fitted level of the lines at every time step, weighted over the strata."""
     away = F.col("t") - F.col("mean_t")
     w = F.col("weight")
     sums = (
-        fits.join(weights.select("species", "stratum", "weight"), ["species", "stratum"])
-        .join(steps, SERIES)
-        .select("*", F.inline("steps"))
+        effects.select(*LINE, "t", "label")
+        .join(fits, LINE)
         .groupBy(*SERIES, "t", "label")
         .agg(
             F.sum(w * (F.col("alpha") + F.col("beta") * F.col("t"))).alias("estimate"),
@@ -184,15 +171,12 @@ def linear_estimate(fits: DataFrame, weights: DataFrame, estimates: DataFrame) -
 
 def contrast_table(
     effects: DataFrame,
-    weights: DataFrame,
     year_windows: Sequence[int] = YEAR_WINDOWS,
     cycle_windows: Sequence[int] = CYCLE_WINDOWS,
 ) -> DataFrame:
     """Coefficients of every estimate, index and trend on the cells, zeros left out."""
-    lines = (
-        effects.join(weights.select("species", "stratum", "weight"), ["species", "stratum"])
-        .groupBy(*SERIES, "stratum", "weight")
-        .agg(F.array_sort(F.collect_list(F.struct("t", "label"))).alias("steps"))
+    lines = effects.groupBy(*SERIES, "stratum", "weight").agg(
+        F.array_sort(F.collect_list(F.struct("t", "label"))).alias("steps")
     )
     keys = [*SERIES, "stratum", "weight"]
     w = F.col("weight")
@@ -243,9 +227,9 @@ def contrast_table(
     return own.unionByName(indices).unionByName(trends)
 
 
-def linear_contrasts(effects: DataFrame, weights: DataFrame) -> DataFrame:
+def linear_contrasts(effects: DataFrame) -> DataFrame:
     """Coefficients of the linear trend and estimates on intercepts and slopes per stratum."""
-    steps = effects.join(weights.select("species", "stratum", "weight"), ["species", "stratum"])
+    steps = effects.select(*SERIES, "stratum", "t", "weight")
     fitted = steps.select(
         *SERIES,
         F.lit("linear_estimate").alias("kind"),

@@ -21,20 +21,34 @@ def time_cells(relevant: DataFrame, base_year: int, cycle_len: int = 3) -> DataF
     """Totals per species, stratum and time step, by year and by cycle.
 
     A year counts from the first year of the species (1, 2, ...), a cycle has its own number.
+    The totals per year are partitioned by species once; all later steps keep to that.
     """
-    totals = [F.sum(c).alias(c) for c in ("n", "n_pos", "c", "c2")]
-    years = relevant.groupBy("species", "stratum", "year").agg(*totals)
+    names = ("n", "n_pos", "c", "c2")
+    years = (
+        relevant.groupBy("species", "stratum", "year")
+        .agg(*[F.sum(c).alias(c) for c in names])
+        .repartition("species")
+    )
     first = F.min("year").over(Window.partitionBy("species"))
-    by_year = years.withColumn("t", (F.col("year") - first + 1).cast("int")).select(
-        "species", F.lit("year").alias("frequency"), "stratum", "t", "year", "n", "n_pos", "c", "c2"
+    cycle = cycle_of(F.col("year"), base_year, cycle_len)
+    steps = F.array(
+        F.struct(
+            F.lit("year").alias("frequency"),
+            (F.col("year") - F.col("first") + 1).cast("int").alias("t"),
+            F.col("year").alias("year"),
+        ),
+        F.struct(
+            F.lit("cycle").alias("frequency"),
+            cycle.alias("t"),
+            cycle_start(cycle, base_year, cycle_len).alias("year"),
+        ),
     )
-    by_cycle = (
-        years.groupBy("species", "stratum", cycle_of(F.col("year"), base_year, cycle_len).alias("t"))
-        .agg(*totals)
-        .withColumn("frequency", F.lit("cycle"))
-        .withColumn("year", cycle_start(F.col("t"), base_year, cycle_len))
+    return (
+        years.withColumn("first", first)
+        .select("species", "stratum", *names, F.inline(steps))
+        .groupBy("species", "frequency", "stratum", "t", "year")
+        .agg(*[F.sum(c).alias(c) for c in names])
     )
-    return by_year.unionByName(by_cycle)
 
 
 def full_grid(cells: DataFrame, cycle_len: int = 3) -> DataFrame:
@@ -163,6 +177,16 @@ def inflate_variance(effects: DataFrame, evidence: DataFrame) -> DataFrame:
     )
 
 
+def weighted(effects: DataFrame, weights: DataFrame) -> DataFrame:
+    """Effects with the weight of their stratum."""
+    return effects.join(weights.select("species", "stratum", "weight"), ["species", "stratum"])
+
+
+def _line_keys(effects: DataFrame) -> list[str]:
+    """A line has one weight; it is kept if the effects carry it."""
+    return LINE + [c for c in ("weight",) if c in effects.columns]
+
+
 def line_fits(effects: DataFrame) -> DataFrame:
     """Weighted regression of the observed effects on time, per species and stratum.
 
@@ -172,9 +196,10 @@ def line_fits(effects: DataFrame) -> DataFrame:
     """
     w = F.when(F.col("c") > 0, F.col("c").cast("double")).otherwise(0.5)
     x, y = F.col("t"), F.col("b")
+    keys = _line_keys(effects)
     sums = (
         effects.filter(~F.col("imputed"))
-        .groupBy(*LINE)
+        .groupBy(*keys)
         .agg(
             F.sum(w).alias("sw"),
             F.sum(w * x).alias("swx"),
@@ -189,7 +214,7 @@ def line_fits(effects: DataFrame) -> DataFrame:
         sums.withColumn("det", det)
         .withColumn("beta", F.when(F.col("det") > 0, beta).otherwise(0.0))
         .select(
-            *LINE,
+            *keys,
             "sw",
             ((F.col("swy") - F.col("beta") * F.col("swx")) / F.col("sw")).alias("alpha"),
             "beta",
@@ -205,6 +230,7 @@ def exact_fits(effects: DataFrame, steps: int = 8) -> DataFrame:
     The observed cells of a line travel as one array, no longer than the time steps.
     """
     start = line_fits(effects)
+    keys = _line_keys(effects)
     cells = (
         effects.filter(F.col("n") > 0)
         .groupBy(*LINE)
@@ -241,7 +267,7 @@ def exact_fits(effects: DataFrame, steps: int = 8) -> DataFrame:
     info = fitted.withColumn("w", w).withColumn("wx", wx).withColumn("wxx", wxx)
     det = F.col("w") * F.col("wxx") - F.col("wx") * F.col("wx")
     return info.select(
-        *LINE,
+        *keys,
         F.col("w").alias("sw"),
         "fit.alpha",
         "fit.beta",
@@ -260,7 +286,7 @@ def information_criteria(effects: DataFrame, fits: DataFrame) -> DataFrame:
     log_part = F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / mu)).otherwise(0.0)
     sums = (
         effects.filter(~F.col("imputed"))
-        .join(fits, LINE)
+        .join(fits.drop("weight"), LINE)
         .groupBy(*SERIES)
         .agg(
             F.count(F.lit(1)).alias("cells"),

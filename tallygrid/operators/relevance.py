@@ -108,45 +108,64 @@ def stratum_min_squares(squares: DataFrame, min_stratum: int = 3) -> DataFrame:
     )
 
 
-def period_means(profile: DataFrame, min_cycle: int, min_stratum: int) -> DataFrame:
-    """Mean count per species, stratum and period after the first square and stratum rule.
+def candidate_strata(
+    profile: DataFrame, n_periods: int, min_cycle: int, min_stratum: int, proportion: float
+) -> DataFrame:
+    """Strata after the first square, stratum and period rules, with the periods of the species.
 
-    A row per species, stratum and period: a table as small as the survey design.
+    ``means`` holds the mean count per period over the strata that are left, zeros included;
+    periods with a mean below ``proportion`` of the highest are dropped, and the first one with
+    the highest mean is the reference. Season periods are numbered 1 to ``n_periods``, so one
+    pass over the squares sums them side by side; all that follows has a row per stratum.
     """
-    first = F.when(F.col("pos") == 0, 1).otherwise(0)
-    totals = (
+    numbers = range(1, n_periods + 1)
+
+    def of_period(p: int, field: str) -> Column:
+        own = F.filter("tallies", lambda t: t["period"] == p)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda s, t: s + t[field])
+
+    per_stratum = (
         profile.filter(cycles_found(F.col("tallies")) >= min_cycle)
-        .select("species", "stratum", F.posexplode("tallies").alias("pos", "t"))
-        .groupBy("species", "stratum", F.col("t.period").alias("period"))
+        .groupBy("species", "stratum")
         .agg(
-            F.sum("t.n").alias("n"),
-            F.sum("t.c").alias("c"),
-            F.sum(first).alias("squares"),
+            F.count(F.lit(1)).alias("n_squares"),
+            *[F.sum(of_period(p, f)).alias(f"{f}_{p}") for p in numbers for f in ("n", "c")],
         )
+        .filter(F.col("n_squares") >= min_stratum)
     )
-    in_stratum = Window.partitionBy("species", "stratum")
-    per_period = Window.partitionBy("species", "period")
+    of_species = Window.partitionBy("species")
+    mean = [
+        F.struct(
+            F.lit(p).alias("period"),
+            (F.sum(f"c_{p}").over(of_species) / F.sum(f"n_{p}").over(of_species)).alias("mean"),
+        )
+        for p in numbers
+    ]
+    # a period without visits has no mean
+    visited = F.filter("means", lambda m: m["mean"].isNotNull())
+    best = F.array_max(F.transform("means", lambda m: m["mean"]))
+    kept = F.filter("means", lambda m: m["mean"] >= F.lit(proportion) * F.col("best"))
+    top = F.filter("means", lambda m: m["mean"] == F.col("best"))
     return (
-        totals.withColumn("n_squares", F.sum("squares").over(in_stratum))
-        .filter(F.col("n_squares") >= min_stratum)
-        .withColumn("mean", F.sum("c").over(per_period) / F.sum("n").over(per_period))
-        .select("species", "stratum", "period", "mean")
+        per_stratum.withColumn("means", F.array(*mean))
+        .withColumn("means", visited)
+        .withColumn("best", best)
+        .select(
+            "species",
+            "stratum",
+            F.transform(kept, lambda m: m["period"]).alias("periods"),
+            F.element_at(top, 1)["period"].alias("reference_period"),
+            "means",
+        )
     )
 
 
-def period_filter(means: DataFrame, proportion: float = 0.15) -> DataFrame:
-    """Periods with a mean of at least ``proportion`` of the highest, per species.
-
-    ``means`` has a row per species and period. The first period with the highest mean is the
-    reference. The mean is that of all counts, zeros included.
-    """
-    of_species = Window.partitionBy("species")
-    best = F.max("mean").over(of_species)
-    reference = F.min(F.when(F.col("mean") == F.col("best"), F.col("period"))).over(of_species)
+def period_filter(candidates: DataFrame) -> DataFrame:
+    """Kept periods of every species with their means, from its candidate strata."""
+    kept = F.filter("means", lambda m: F.array_contains(F.col("periods"), m["period"]))
     return (
-        means.withColumn("best", best)
-        .withColumn("reference_period", reference)
-        .filter(F.col("mean") >= F.lit(proportion) * F.col("best"))
+        candidates.select("species", "reference_period", F.inline(kept))
+        .distinct()
         .select(
             "species",
             "period",
@@ -156,19 +175,6 @@ def period_filter(means: DataFrame, proportion: float = 0.15) -> DataFrame:
     )
 
 
-def candidate_strata(means: DataFrame, proportion: float) -> DataFrame:
-    """Strata and periods per species after the period rule."""
-    kept = (
-        period_filter(means.select("species", "period", "mean").distinct(), proportion)
-        .groupBy("species")
-        .agg(
-            F.array_sort(F.collect_set("period")).alias("periods"),
-            F.max(F.when(F.col("is_reference"), F.col("period"))).alias("reference_period"),
-        )
-    )
-    return means.select("species", "stratum").distinct().join(kept, "species")
-
-
 def relevant_strata(
     profile: DataFrame,
     candidates: DataFrame,
@@ -179,8 +185,9 @@ def relevant_strata(
     """Strata that pass the second square and stratum rule, for species with enough data."""
     in_periods = F.filter("tallies", lambda t: F.array_contains(F.col("periods"), t["period"]))
     positives = F.aggregate(in_periods, F.lit(0).cast("long"), lambda s, t: s + t["n_pos"])
+    strata = candidates.select("species", "stratum", "periods", "reference_period")
     totals = (
-        second_square_rule(profile, candidates, min_cycle)
+        second_square_rule(profile, strata, min_cycle)
         .groupBy("species", "stratum", "periods", "reference_period")
         .agg(F.count(F.lit(1)).alias("n_squares"), F.sum(positives).alias("n_pos"))
         .filter(F.col("n_squares") >= min_stratum)

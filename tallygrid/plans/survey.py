@@ -1,9 +1,9 @@
 """All tables of a survey, built from its source on demand.
 
 Four tables are stored as stages because later steps read them more than once: the effort per
-point, the zero-filled cells, the profile of the squares, and the relevant cells; next to them
-a few tables as small as the survey design, stored so that the planner knows they are small.
-Everything else is a lazy DataFrame.
+point, the zero-filled cells, the profile of the squares, and the relevant cells. Next to them
+the strata that pass the rules and the effects: tables with a row per species, stratum and time
+step, stored so that the planner knows how small they are. Everything else is a lazy DataFrame.
 """
 
 from __future__ import annotations
@@ -134,23 +134,18 @@ class Survey:
         )
 
     @cached_property
-    def period_means(self) -> DataFrame:
+    def candidate_strata(self) -> DataFrame:
         d = self.design
         return self.staging.table(
-            "period_means", lambda: relevance.period_means(self.profile, d.min_cycle, d.min_stratum)
+            "candidate_strata",
+            lambda: relevance.candidate_strata(
+                self.profile, len(d.period_starts) + 1, d.min_cycle, d.min_stratum, d.proportion
+            ),
         )
 
     @cached_property
     def kept_periods(self) -> DataFrame:
-        means = self.period_means.select("species", "period", "mean").distinct()
-        return relevance.period_filter(means, self.design.proportion)
-
-    @cached_property
-    def candidate_strata(self) -> DataFrame:
-        return self.staging.table(
-            "candidate_strata",
-            lambda: relevance.candidate_strata(self.period_means, self.design.proportion),
-        )
+        return relevance.period_filter(self.candidate_strata)
 
     @cached_property
     def relevant_strata(self) -> DataFrame:
@@ -205,10 +200,7 @@ class Survey:
 
     @cached_property
     def weights(self) -> DataFrame:
-        return self.staging.table(
-            "weights",
-            lambda: weights.stratum_weights(self.squares, self.surveyed, self.frame_sizes),
-        )
+        return weights.stratum_weights(self.squares, self.surveyed, self.frame_sizes)
 
     @cached_property
     def weight_table(self) -> DataFrame:
@@ -235,19 +227,19 @@ class Survey:
 
     @cached_property
     def effects(self) -> DataFrame:
-        """Species x strata x time steps, stored once for all contrasts."""
+        """Species x strata x time steps with their weights, stored once for all contrasts."""
 
         def build() -> DataFrame:
             table = effects.stratum_effects(self.grid)
             if self.design.overdispersion:
                 table = effects.inflate_variance(table, self.dispersion)
-            return table
+            return effects.weighted(table, self.weights)
 
         return self.staging.table("effects", build)
 
     @cached_property
     def estimates(self) -> DataFrame:
-        return contrasts.estimate(self.effects, self.weights)
+        return contrasts.estimate(self.effects)
 
     @cached_property
     def series(self) -> DataFrame:
@@ -273,20 +265,20 @@ class Survey:
 
     @cached_property
     def linear_trend(self) -> DataFrame:
-        return contrasts.linear_trend(self.lines, self.weights)
+        return contrasts.linear_trend(self.lines)
 
     @cached_property
     def linear_estimate(self) -> DataFrame:
-        return contrasts.linear_estimate(self.lines, self.weights, self.estimates)
+        return contrasts.linear_estimate(self.lines, self.effects)
 
     @cached_property
     def contrasts(self) -> DataFrame:
         d = self.design
-        return contrasts.contrast_table(self.effects, self.weights, d.year_windows, d.cycle_windows)
+        return contrasts.contrast_table(self.effects, d.year_windows, d.cycle_windows)
 
     @cached_property
     def linear_contrasts(self) -> DataFrame:
-        return contrasts.linear_contrasts(self.effects, self.weights)
+        return contrasts.linear_contrasts(self.effects)
 
     # --- composites
 

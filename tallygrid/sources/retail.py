@@ -1,6 +1,6 @@
 """Retail tables read as a survey: every operator can run on them at any scale.
 
-region = stratum, nation and market segment = square, customer = point, order = sample,
+region or nation = stratum, nation and market segment = square, customer = point, order = sample,
 line item = observation, part brand or type = species.
 """
 
@@ -16,10 +16,13 @@ from tallygrid.sources.base import SurveySource
 class RetailSource(SurveySource):
     project = "retail"
 
-    def __init__(self, spark: SparkSession, folder: str, species: str = "p_brand"):
+    def __init__(
+        self, spark: SparkSession, folder: str, species: str = "p_brand", stratum: str = "r_name"
+    ):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.species_column = species
+        self.stratum_column = stratum
         self.group_column = "p_type" if species != "p_type" else "p_brand"
 
     def table(self, name: str) -> DataFrame:
@@ -66,7 +69,7 @@ class RetailSource(SurveySource):
             .select(
                 F.col("c_custkey").alias("point_id"),
                 F.format_string("%02d-%s", "c_nationkey", "c_mktsegment").alias("square"),
-                F.col("r_name").alias("stratum"),
+                F.col(self.stratum_column).alias("stratum"),
             )
         )
 
