@@ -22,9 +22,11 @@ from tallygrid.operators import (
     reports,
     samples,
 )
+from tallygrid.operators.ranking import number_rows
 from tallygrid.plans import Survey, SurveyDesign
 from tallygrid.sources import RetailSource, decode_column, write_table
 from tallygrid.sources.text import encode_labels
+from tallygrid.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,7 +67,7 @@ def scan_survey_tables(spark, folder):
 
 def dictionary_decode(spark, folder):
     customers = RetailSource(spark, folder).table("customer").select("c_custkey", "c_mktsegment")
-    labels = encode_labels(customers, "c_mktsegment")
+    labels = encode_labels(customers, "c_mktsegment", Staging(spark))
     coded = customers.join(labels, F.col("c_mktsegment") == F.col("label")).select(
         "c_custkey", F.col("code").alias("c_mktsegment"), "code"
     )
@@ -93,8 +95,6 @@ def surrogate_key_assign(spark, folder):
         sv.source.table("part").groupBy("p_type", "p_brand").agg(F.min("p_size").alias("smallest"))
     )
     order = [F.col("p_type"), F.col("p_brand")]
-    from tallygrid.operators.ranking import number_rows
-
     known = number_rows(
         pairs.filter(F.col("smallest") <= 1).select("p_type", "p_brand"), order, "known_id", sv.staging
     ).withColumnRenamed("known_id", "id")

@@ -21,12 +21,16 @@ class RetailSource(SurveySource):
     ):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
         self.species_column = species
         self.stratum_column = stratum
         self.group_column = "p_type" if species != "p_type" else "p_brand"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table; its schema is read from the files once per source."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def samples(self) -> DataFrame:
         return self.table("orders").select(

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallygrid.operators.ranking import number_rows
+from tallygrid.staging import Staging
+
 
 def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Read a tab-separated table with a header, ``NA`` for NULL and a fixed schema."""
@@ -26,9 +29,9 @@ def decode_column(df: DataFrame, column: str, labels: DataFrame) -> DataFrame:
     )
 
 
-def encode_labels(df: DataFrame, column: str) -> DataFrame:
+def encode_labels(df: DataFrame, column: str, staging: Staging) -> DataFrame:
     """Label table of a column: codes 1, 2, ... in alphabetical order of the distinct values."""
-    values = df.agg(F.array_sort(F.collect_set(column)).alias("values"))
-    return values.select(F.posexplode("values").alias("place", "label")).select(
-        (F.col("place") + 1).cast("int").alias("code"), "label"
+    values = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("label")).distinct()
+    return number_rows(values, [F.col("label")], "code", staging).withColumn(
+        "code", F.col("code").cast("int")
     )
