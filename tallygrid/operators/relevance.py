@@ -137,7 +137,9 @@ def candidate_strata(
     mean = [
         F.struct(
             F.lit(p).alias("period"),
-            (F.sum(f"c_{p}").over(of_species) / F.sum(f"n_{p}").over(of_species)).alias("mean"),
+            F.try_divide(
+                F.sum(f"c_{p}").over(of_species), F.sum(f"n_{p}").over(of_species)
+            ).alias("mean"),
         )
         for p in numbers
     ]

@@ -206,3 +206,32 @@ def test_dutch_texts(spark):
     survey = Survey(spark, source, SurveyDesign(min_observation=20, min_stratum=2, lang="nl"))
     assert all(r.sentence.startswith("De toestand in") for r in survey.endpoints.collect())
     assert {r.verdict for r in survey.verdicts.collect()} <= {"niet-lineair", "mogelijk niet-lineair", "lineair"}
+
+
+def test_single_time_step_has_no_slope(spark):
+    """One stratum seen in one year only: slope 0, no division by zero, in both fits."""
+    rows = [("a", "year", "s", 1, 2007, 4, 2, 6, 20, 0.4, 0.2, False, 1.0)]
+    df = spark.createDataFrame(
+        rows,
+        "species string, frequency string, stratum string, t int, label int, n long, n_pos long, c long,"
+        "c2 long, b double, var double, imputed boolean, weight double",
+    )
+    for fit in (effects.line_fits, effects.exact_fits):
+        row = fit(df).first()
+        assert (row.beta, row.var_beta) == (0.0, 0.0)
+        assert row.alpha == pytest.approx(0.4)
+        trend = contrasts.linear_trend(fit(df)).first()
+        assert (trend.estimate, trend.lcl, trend.ucl) == (0.0, 0.0, 0.0)
+
+
+def test_cells_without_individuals_count_half(spark):
+    grid = spark.createDataFrame(
+        [("a", "year", "s", 1, 2007, 4, 0, 0, 0), ("a", "year", "s", 2, 2008, 4, 2, 6, 20), ("a", "year", "s", 3, 2009, 0, 0, 0, 0)],
+        "species string, frequency string, stratum string, t int, label int, n long, n_pos long, c long, c2 long",
+    )
+    got = effects.stratum_effects(grid).orderBy("t").collect()
+    assert [r.b for r in got] == pytest.approx([math.log(0.5 / 4), math.log(1.5), math.log(1.5)])
+    assert [r.var for r in got] == pytest.approx([2, 1 / 6, 1 / 6])
+    assert [r.imputed for r in got] == [False, False, True]
+    row = effects.dispersion(grid).first()
+    assert row.zeros == 6 and row.phi == pytest.approx((20 / 1.5 - 6) / (8 - 2))
