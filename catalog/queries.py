@@ -34,22 +34,36 @@ BASE_YEAR = 1995
 STRICT = {"min_cycle": 3, "proportion": 0.95}
 
 
+_STAGINGS: dict[tuple, Staging] = {}
+
+
 def survey(
-    spark: SparkSession,
-    folder: str,
-    species: str = "p_brand",
-    stratum: str = "r_name",
-    keep_counts: bool = False,
-    **design,
+    spark: SparkSession, folder: str, species: str = "p_brand", stratum: str = "r_name", **design
 ) -> Survey:
+    """A survey of a folder; all queries of an application share the stored tables.
+
+    At scale the counts and cells are the expensive part, so they are made once, not once per
+    query. Stages that were removed from the shared folder are made again.
+    """
+    key = (spark.sparkContext.applicationId, folder, species, stratum)
+    if key not in _STAGINGS or not _STAGINGS[key].intact():
+        _STAGINGS[key] = Staging(spark)
     return Survey(
         spark,
         RetailSource(spark, folder, species, stratum),
         SurveyDesign(base_year=BASE_YEAR, **design),
-        keep_counts=keep_counts,
+        staging=_STAGINGS[key],
+        keep_counts=True,
     )
 
 
+def forget() -> None:
+    """Delete the stored tables, so that the next query starts from nothing."""
+    for staging in _STAGINGS.values():
+        staging.release()
+    _STAGINGS.clear()
+
+
 def rounded(df: DataFrame, keys: list[str], *numbers: str, digits: int = 6) -> DataFrame:
     return df.select(*keys, *[F.round(c, digits).alias(c) for c in numbers])
 
@@ -75,7 +89,7 @@ def dictionary_decode(spark, folder):
 
 
 def sorted_sink_roundtrip(spark, folder):
-    sv = survey(spark, folder, keep_counts=True)
+    sv = survey(spark, folder)
     counts = sv.common_counts.select("species", "sample_id", "count")
     return write_table(
         counts, f"{sv.staging.folder}/observation", sorting=["sample_id"], partition_by=["species"]
@@ -163,7 +177,7 @@ def cycle_assign(spark, folder):
 
 
 def species_counts(spark, folder):
-    return survey(spark, folder, keep_counts=True).common_counts.select("species", "sample_id", "count")
+    return survey(spark, folder).common_counts.select("species", "sample_id", "count")
 
 
 def valid_locations(spark, folder):
@@ -184,7 +198,7 @@ def visit_hierarchy(spark, folder):
 
 
 def zero_fill(spark, folder):
-    sv = survey(spark, folder, keep_counts=True)
+    sv = survey(spark, folder)
     return samples.zero_fill(sv.visits, sv.counts).select(
         "species", "sample_id", "point_id", "year", "period", "count"
     )
@@ -230,7 +244,7 @@ def square_min_cycles(spark, folder):
 def _enough_positives(sv: Survey) -> DataFrame:
     """Species that pass the check on positive counts before any rule."""
     positives = F.aggregate("tallies", F.lit(0).cast("long"), lambda s, t: s + t["n_pos"])
-    return sv.staging.table(
+    return sv.stage(
         "enough",
         lambda: sv.profile.groupBy("species")
         .agg(F.sum(positives).alias("n_pos"))
@@ -259,7 +273,7 @@ def period_filter(spark, folder):
 
 
 def _relevant(spark, folder, **design):
-    return survey(spark, folder, keep_counts=True, **design).relevant_samples.select(
+    return survey(spark, folder, **design).relevant_samples.select(
         "species", "stratum", "square", "point_id", "sample_id", "year", "period", "is_reference", "count"
     )
 
@@ -274,7 +288,7 @@ def select_relevant_strict(spark, folder):
 
 def complete_grid(spark, folder):
     """With the nations as strata, some of which lack a year for some species."""
-    grid = survey(spark, folder, stratum="n_name", keep_counts=True).complete_grid
+    grid = survey(spark, folder, stratum="n_name").complete_grid
     # columns that are NULL in padded rows
     return grid.withColumns({c: F.col(c).cast("double") for c in ("point_id", "count")})
 

@@ -18,9 +18,9 @@ def number_rows(
     the sizes of the partitions, a table with one row per partition, give the offsets.
     """
     part, place = F.spark_partition_id(), F.monotonically_increasing_id()
-    placed = staging.table(
+    placed = staging.write(
         f"numbered_{name}",
-        lambda: df.repartitionByRange(*order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", part)
         .withColumn("_place", place - F.shiftleft(F.col("_part").cast("long"), 33)),

@@ -8,8 +8,9 @@ step, stored so that the planner knows how small they are. Everything else is a
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import cached_property
@@ -35,6 +36,11 @@ from tallygrid.staging import Staging
 from tallygrid.sources.base import SurveySource
 
 
+# Fields of the design that the stored tables before the relevance rules depend on.
+VISIT_FIELDS = ("season", "period_starts", "end_date", "min_year")
+PROFILE_FIELDS = (*VISIT_FIELDS, "base_year", "cycle_len")
+
+
 @dataclass(frozen=True)
 class SurveyDesign:
     """Constants of a survey and thresholds of its analysis."""
@@ -64,7 +70,7 @@ class Survey:
     source: SurveySource
     design: SurveyDesign = field(default_factory=SurveyDesign)
     staging: Staging | None = None
-    # Store the counts as well: for tables of single samples, which need them twice.
+    # Store the counts as well: for tables of single samples, which need them once more.
     keep_counts: bool = False
 
     def __post_init__(self):
@@ -72,6 +78,15 @@ class Survey:
         if self.staging is None:
             self.staging = Staging(self.spark)
 
+    def stage(self, name: str, build: Callable[[], DataFrame], fields: Sequence[str] | None = None) -> DataFrame:
+        """A stored table that depends on the given fields of the design, on all by default.
+
+        Surveys of one source that share a ``staging`` share the tables that their designs
+        have in common.
+        """
+        values = [getattr(self.design, f) for f in fields] if fields else self.design
+        return self.staging.table(f"{name}-{hashlib.md5(repr(values).encode()).hexdigest()[:8]}", build)
+
     # --- samples and counts
 
     @cached_property
@@ -85,13 +100,13 @@ class Survey:
 
     @cached_property
     def counts(self) -> DataFrame:
-        """Counts of common species per sample, if stored; of all species when passed on."""
+        """Counts per species and sample."""
         counts = samples.species_counts(self.source.sightings(self.visits))
-        return self.staging.table("counts", lambda: counts) if self.keep_counts else counts
+        return self.stage("counts", lambda: counts, VISIT_FIELDS) if self.keep_counts else counts
 
     @cached_property
     def common_species(self) -> DataFrame:
-        return self.staging.table(
+        return self.stage(
             "common_species",
             lambda: samples.common_species(self.counts, self.design.min_observation),
         )
@@ -106,8 +121,10 @@ class Survey:
 
     @cached_property
     def point_effort(self) -> DataFrame:
-        return self.staging.table(
-            "point_effort", lambda: relevance.point_effort(self.visits, self.source.points())
+        return self.stage(
+            "point_effort",
+            lambda: relevance.point_effort(self.visits, self.source.points()),
+            VISIT_FIELDS,
         )
 
     @cached_property
@@ -122,21 +139,23 @@ class Survey:
 
     @cached_property
     def cells(self) -> DataFrame:
-        return self.staging.table(
-            "cells", lambda: relevance.point_cells(self.counts, self.point_effort)
+        return self.stage(
+            "cells", lambda: relevance.point_cells(self.counts, self.point_effort), VISIT_FIELDS
         )
 
     @cached_property
     def profile(self) -> DataFrame:
         d = self.design
-        return self.staging.table(
-            "profile", lambda: relevance.square_profile(self.cells, d.base_year, d.cycle_len)
+        return self.stage(
+            "profile",
+            lambda: relevance.square_profile(self.cells, d.base_year, d.cycle_len),
+            PROFILE_FIELDS,
         )
 
     @cached_property
     def candidate_strata(self) -> DataFrame:
         d = self.design
-        return self.staging.table(
+        return self.stage(
             "candidate_strata",
             lambda: relevance.candidate_strata(
                 self.profile, len(d.period_starts) + 1, d.min_cycle, d.min_stratum, d.proportion
@@ -150,7 +169,7 @@ class Survey:
     @cached_property
     def relevant_strata(self) -> DataFrame:
         d = self.design
-        return self.staging.table(
+        return self.stage(
             "relevant_strata",
             lambda: relevance.relevant_strata(
                 self.profile, self.candidate_strata, d.min_observation, d.min_stratum, d.min_cycle
@@ -160,7 +179,7 @@ class Survey:
     @cached_property
     def relevant(self) -> DataFrame:
         d = self.design
-        return self.staging.table(
+        return self.stage(
             "relevant",
             lambda: relevance.relevant_cells(
                 self.cells, self.profile, self.relevant_strata, d.min_cycle, d.base_year, d.cycle_len
@@ -173,7 +192,7 @@ class Survey:
 
     @cached_property
     def year_spans(self) -> DataFrame:
-        return self.staging.table("year_spans", lambda: relevance.year_spans(self.relevant))
+        return self.stage("year_spans", lambda: relevance.year_spans(self.relevant))
 
     @cached_property
     def complete_grid(self) -> DataFrame:
@@ -235,7 +254,7 @@ class Survey:
                 table = effects.inflate_variance(table, self.dispersion)
             return effects.weighted(table, self.weights)
 
-        return self.staging.table("effects", build)
+        return self.stage("effects", build)
 
     @cached_property
     def estimates(self) -> DataFrame:
@@ -285,7 +304,7 @@ class Survey:
     @cached_property
     def groups(self) -> DataFrame:
         """Members of groups that could be analysed."""
-        return self.staging.table(
+        return self.stage(
             "groups",
             lambda: self.source.groups().join(self.analysed_species, "species", "left_semi"),
         )

@@ -32,6 +32,6 @@ def decode_column(df: DataFrame, column: str, labels: DataFrame) -> DataFrame:
 def encode_labels(df: DataFrame, column: str, staging: Staging) -> DataFrame:
     """Label table of a column: codes 1, 2, ... in alphabetical order of the distinct values."""
     values = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("label")).distinct()
-    return number_rows(values, [F.col("label")], "code", staging).withColumn(
-        "code", F.col("code").cast("int")
-    )
+    numbered = number_rows(values, [F.col("label")], "code", staging)
+    # stored, so that joins with it know its size
+    return staging.write("labels", numbered.withColumn("code", F.col("code").cast("int")))

@@ -32,6 +32,7 @@ class Staging:
         self.spark = spark
         self._folder = folder
         self._tables: dict[str, DataFrame] = {}
+        self._paths: list[str] = []
 
     @property
     def folder(self) -> str:
@@ -42,14 +43,23 @@ class Staging:
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The stage ``name``, built and written on first use."""
         if name not in self._tables:
-            df = build()
-            path = f"{self.folder}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
+            self._tables[name] = self.write(name, build())
         return self._tables[name]
 
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table under a new name and read it back."""
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        self._paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def intact(self) -> bool:
+        """Whether all stages are still there: a shared folder may be cleaned."""
+        return all(files.exists(self.spark, path) for path in self._paths)
+
     def release(self) -> None:
         """Delete the stages; tables read from them can no longer be used."""
-        if self._tables:
+        if self._paths:
             files.delete(self.spark, self.folder)
-            self._tables.clear()
+        self._tables.clear()
+        self._paths.clear()

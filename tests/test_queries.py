@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, with the stages shared between the queries."""
+"""Every registered query against its SQL."""
 
 from pathlib import Path
 
@@ -6,7 +6,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-import catalog.queries as catalog
 from check import TABLES, compare
 
 FOLDER = "/root/testdata/sf0.01"
@@ -21,22 +20,6 @@ def database():
     return db
 
 
-@pytest.fixture(scope="module", autouse=True)
-def shared_surveys():
-    """One survey per set of arguments, as for a user who asks for many tables of one survey."""
-    make, made = catalog.survey, {}
-
-    def survey(spark, folder, **design):
-        key = (folder, *sorted(design.items()))
-        if key not in made:
-            made[key] = make(spark, folder, **design)
-        return made[key]
-
-    catalog.survey = survey
-    yield
-    catalog.survey = make
-
-
 def test_every_query_has_sql():
     assert set(entry.queries()) == set(SQL)
 

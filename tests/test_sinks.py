@@ -1,8 +1,7 @@
-import json
-
 import pytest
 from pyspark.sql import functions as F
 
+from tallygrid import files
 from tallygrid.operators.lineage import analysis_fingerprint, table_fingerprint
 from tallygrid.operators.ranking import number_rows
 from tallygrid.schema import MissingColumns, column_comments, describe_columns, require_columns
@@ -140,8 +139,9 @@ def test_staging_uses_the_named_folder_and_releases(spark):
     assert staging.folder.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert staging.table("t", lambda: 1 / 0) is table and table.count() == 3
     assert "Range" not in table._jdf.queryExecution().optimizedPlan().toString()
+    assert staging.intact()
+    files.delete(spark, staging.folder)
+    assert not staging.intact()
+    staging.write("u", spark.range(2).toDF("id"))
     staging.release()
-    from tallygrid import files
-
-    assert not files.exists(spark, staging.folder)
-    assert json.dumps(staging._tables) == "{}"
+    assert staging.intact() and not files.exists(spark, staging.folder)
