@@ -1,4 +1,4 @@
-"""An operational survey database: nine tables plus a sampling frame.
+"""An operational survey database: nine tables plus a sampling frame and chosen families.
 
 A reader is any function from a table name to a DataFrame, so the same source runs on
 Parquet exports, catalog tables or a JDBC connection; with JDBC Spark pushes the filters
@@ -24,11 +24,12 @@ DATABASE_TABLES = {
     "fieldwork_sample": ("id", "visit_id", "location_id", "not_counted"),
     "fieldwork_observation": ("sample_id", "species_id", "number_min"),
     "locations_location": ("id", "name"),
-    "species_species": ("id", "scientific_name", "name", "euring_code", "reference_inbo"),
+    "species_species": ("id", "scientific_name", "name", "euring_code"),
     "projects_projectspecies": ("project_id", "species_id"),
     "species_group": ("id", "name"),
     "species_speciesgrouprelation": ("group_id", "species_id"),
     "sampling_frame": ("ExternalCode", "Stratum"),
+    "distribution": ("species_id", "family"),
 }
 
 TableReader = Callable[[str], DataFrame]
@@ -66,18 +67,30 @@ def jdbc_reader(
 
 
 class OperationalSource(SurveySource):
+    """A project of a database that also holds other projects.
+
+    ``square_prefix`` turns a code of the sampling frame into the name of a square,
+    ``group_suffix`` marks the names of the species groups of the project, and only species
+    with a value in ``reference_column`` take part.
+    """
+
     def __init__(
-        self, read: TableReader, project: str, square_prefix: str, group_suffix: str = " (ABV)"
+        self,
+        read: TableReader,
+        project: str,
+        square_prefix: str,
+        group_suffix: str,
+        reference_column: str,
     ):
         self.read = read
         self.project = project
         self.square_prefix = square_prefix
         self.group_suffix = group_suffix
+        self.reference_column = reference_column
 
-    def _table(self, name: str) -> DataFrame:
-        return require_columns(self.read(name), DATABASE_TABLES[name], name).select(
-            *DATABASE_TABLES[name]
-        )
+    def _table(self, name: str, *more: str) -> DataFrame:
+        columns = [*DATABASE_TABLES[name], *more]
+        return require_columns(self.read(name), columns, name).select(*columns)
 
     def _visits(self) -> DataFrame:
         project = self._table("projects_project").select(
@@ -150,8 +163,8 @@ class OperationalSource(SurveySource):
             .distinct()
         )
         return (
-            self._table("species_species")
-            .filter(F.col("reference_inbo").isNotNull())
+            self._table("species_species", self.reference_column)
+            .filter(F.col(self.reference_column).isNotNull())
             .withColumnRenamed("id", "species_id")
             .join(offered, "species_id", "left_semi")
             .select(
@@ -159,7 +172,7 @@ class OperationalSource(SurveySource):
                 "scientific_name",
                 "name",
                 F.col("euring_code").alias("euring"),
-                F.col("reference_inbo").alias("reference"),
+                F.col(self.reference_column).alias("reference"),
             )
         )
 
@@ -188,6 +201,4 @@ class OperationalSource(SurveySource):
         return species_groups(groups, relation, self.species())
 
     def families(self) -> DataFrame:
-        return self.read("distribution").select(
-            F.col("species_id").alias("species"), "family"
-        )
+        return self._table("distribution").withColumnRenamed("species_id", "species")

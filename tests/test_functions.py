@@ -135,7 +135,7 @@ def test_quantile_constants(spark):
 def test_texts(spark):
     row = spark.range(1).select(
         slug(F.lit("Cetti's Warbler XL")).alias("slug"),
-        strip_suffix(F.lit("Farmland (ABV)")).alias("name"),
+        strip_suffix(F.lit("Farmland (birds)")).alias("name"),
         wrapped_hash(F.lit("a" * 20 + "b" * 20)).alias("hash"),
         cycle_period_label(F.lit(2007)).alias("period"),
     ).first()

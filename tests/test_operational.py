@@ -34,10 +34,10 @@ def tables(spark):
         "locations_location": make(locations, "id long, name string"),
         "species_species": make(
             [(7, "Troglodytes troglodytes", "wren", "10660", "x"), (8, "Larus canus", "gull", "5900", None), (9, "Parus major", "tit", "14640", "y")],
-            "id long, scientific_name string, name string, euring_code string, reference_inbo string",
+            "id long, scientific_name string, name string, euring_code string, catalogue_code string",
         ),
         "projects_projectspecies": make([(1, 7), (1, 8), (2, 9)], "project_id long, species_id long"),
-        "species_group": make([(1, "Farmland (ABV)"), (2, "Rare"), (3, "Odd(ABV)")], "id long, name string"),
+        "species_group": make([(1, "Farmland (birds)"), (2, "Rare"), (3, "Odd(birds)")], "id long, name string"),
         "species_speciesgrouprelation": make([(1, 7), (1, 8), (2, 7)], "group_id long, species_id long"),
         "sampling_frame": make(
             [("100", "low"), ("101", "low"), ("102", "low"), ("103", "low"), ("104", None)], "ExternalCode string, Stratum string"
@@ -58,7 +58,7 @@ def source(request, spark, tmp_path_factory):
         for name, df in tables(spark).items():
             df.coalesce(1).write.mode("overwrite").saveAsTable(f"field.{name}")
         read = catalog_reader(spark, "spark_catalog.field")
-    return OperationalSource(read, "birds", "GRID_")
+    return OperationalSource(read, "birds", "GRID_", " (birds)", "catalogue_code")
 
 
 def test_canonical_columns(source):
@@ -99,7 +99,7 @@ def test_missing_column_is_reported(spark):
     own = tables(spark)
     own["fieldwork_visit"] = own["fieldwork_visit"].drop("validation_status")
     with pytest.raises(MissingColumns, match="fieldwork_visit lacks validation_status"):
-        OperationalSource(own.__getitem__, "birds", "GRID_").samples()
+        OperationalSource(own.__getitem__, "birds", "GRID_", " (birds)", "catalogue_code").samples()
 
 
 def test_jdbc_reader_needs_a_driver(spark):

@@ -98,7 +98,7 @@ def test_species_groups_link_groups_and_species(spark):
     import hashlib
 
     sha = lambda x: hashlib.sha1(x.encode()).hexdigest()
-    groups = spark.createDataFrame([(1, "Farmland (ABV)")], "external_id long, name string")
+    groups = spark.createDataFrame([(1, "Farmland (birds)")], "external_id long, name string")
     relation = spark.createDataFrame([(1, 10), (1, 11), (2, 10)], "external_id long, species long")
     species = spark.createDataFrame([(10, "wren"), (11, "tit")], "species long, name string")
     table, members = dimensions.species_groups(groups, relation, species)

@@ -6,13 +6,17 @@ import pytest
 from fixtures import brute_force, random_survey
 
 from catalog.queries import QUERIES
-from catalog.queries import survey as retail_survey
 from tallygrid import Survey, SurveyDesign
 from tallygrid.operators import relevance, samples
+from tallygrid.sources import RetailSource
 
 FOLDER = "/root/testdata/sf0.001"
 
 
+def retail_survey(spark, folder, species="p_brand", **design):
+    return Survey(spark, RetailSource(spark, folder, species), SurveyDesign(base_year=1995, **design))
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
