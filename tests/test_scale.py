@@ -49,6 +49,17 @@ def test_hot_keys_give_the_same_rows(shuffled, hot):
     assert got == brute_force(source, 2007, **design)
 
 
+def test_hot_key_of_a_raw_join_is_split(shuffled):
+    """A third of all visits at one point: adaptive execution reads that partition in parts."""
+    visits = shuffled.range(0, 9000, 1, 6).selectExpr(
+        "id AS sample_id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS point_id", "2010 AS year", "1 AS period"
+    )
+    points = shuffled.range(0, 9000, 1, 2).selectExpr("id AS point_id", "'q' AS square", "'s' AS stratum")
+    joined = samples.visit_hierarchy(visits, points)
+    assert len(joined.collect()) == 9000
+    assert "skew=true" in plan(joined)
+
+
 def test_busy_point_joins_as_totals(shuffled):
     """A point with a third of all visits reaches every join as one row per year and period."""
     source = random_survey(shuffled, 22, n_samples=600, hot_point=True)
