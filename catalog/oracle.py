@@ -615,7 +615,6 @@ def oracle() -> dict[str, str]:
     freq = "CASE frequency WHEN 'cycle' THEN 'three-yearly' ELSE 'yearly' END AS frequency"
     exps = ", ".join(f"round(exp({c}), 4) AS {c}" for c in ("estimate", "lcl", "ucl"))
     key = "|| '/' || frequency || '/{0}'"
-    status = "sha1(species " + key.format("{0}") + " || '|converged') AS status"
     own = f"species AS species_name, {freq}"
     ids = lambda name, kind: (
         f"{name} {key.format(kind)} AS analysis, sha1({name} {key.format(kind)} || '|converged') AS status"
