@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog.oracle import oracle
+from catalog.queries import QUERIES
 from check import TABLES, compare
 
 FOLDER = "/root/testdata/sf0.01"
-SQL = entry.oracle_sql()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +23,9 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
