@@ -90,12 +90,17 @@ def winnowed(df: DataFrame, span: int) -> DataFrame:
 
 
 def windows(df: DataFrame, span: int) -> DataFrame:
-    """Every ``span`` consecutive words with their place, text and fingerprint, a row each."""
+    """Every ``span`` consecutive words with their place, text and fingerprint, a row each.
+
+    The words are taken one by one: slicing an array reads all of it.
+    """
     keep = [c for c in df.columns if c not in ("words", "minima")]
     spans = F.transform(
         "minima",
         lambda m, i: F.struct(
-            i.alias("start"), m.alias("hash"), F.concat_ws(" ", F.slice("words", i + 1, span)).alias("window")
+            i.alias("start"),
+            m.alias("hash"),
+            F.concat_ws(" ", *[F.get("words", i + j) for j in range(span)]).alias("window"),
         ),
     )
     return df.withColumn("_spans", spans).select(*keep, F.inline("_spans"))
