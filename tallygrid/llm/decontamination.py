@@ -92,7 +92,9 @@ def winnowed(df: DataFrame, span: int) -> DataFrame:
 def windows(df: DataFrame, span: int) -> DataFrame:
     """Every ``span`` consecutive words with their place, text and fingerprint, a row each.
 
-    The words are taken one by one: slicing an array reads all of it.
+    The words are taken one by one: slicing an array reads all of it. The outer form keeps Spark
+    from testing, in a filter of its own, whether there are any, which works everything out again;
+    its one row without a window for a short text has no fingerprint and joins nothing.
     """
     keep = [c for c in df.columns if c not in ("words", "minima")]
     spans = F.transform(
@@ -103,7 +105,7 @@ def windows(df: DataFrame, span: int) -> DataFrame:
             F.concat_ws(" ", *[F.get("words", i + j) for j in range(span)]).alias("window"),
         ),
     )
-    return df.withColumn("_spans", spans).select(*keep, F.inline("_spans"))
+    return df.withColumn("_spans", spans).select(*keep, F.inline_outer("_spans"))
 
 
 def contamination(
@@ -151,7 +153,7 @@ def contamination(
         hashes.select(
             "doc_id",
             "_text",
-            F.explode(F.array_distinct(F.concat(*[f"_m{n}" for n in lengths]))).alias("hash"),
+            F.explode_outer(F.array_distinct(F.concat(*[f"_m{n}" for n in lengths]))).alias("hash"),
         )
         .join(prints, "hash", "left_semi")
         .select("doc_id", "_text")
