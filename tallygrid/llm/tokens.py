@@ -46,7 +46,7 @@ SEGMENT = 1 << 22
 REMEMBERED, LONGEST = 400_000, 48  # words, and letters of a word, that are remembered
 
 INDEX = "bucket int, segment int, path string, offset long, bytes long, docs long, ids long"
-ROWS = "bucket int, segment int, nth int, doc_id long, at long, n_tokens long, ids_crc32 long"
+ROWS = "bucket int, segment int, nth int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 class Tokens:
@@ -224,7 +224,7 @@ _INDEX = pa.schema(
 _ROWS = pa.schema(
     [
         ("bucket", pa.int32()), ("segment", pa.int32()), ("nth", pa.int32()), ("doc_id", pa.int64()),
-        ("at", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()),
+        ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()),
     ]
 )
 
@@ -249,7 +249,7 @@ def read_tokens(index: DataFrame) -> DataFrame:
                     rows.append(
                         {
                             "bucket": r["bucket"], "segment": r["segment"], "nth": i, "doc_id": name,
-                            "at": at, "n_tokens": len(ids), "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes()),
+                            "start": r["base"] + at, "n_tokens": len(ids), "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes()),
                         }
                     )
                     at += len(ids)
@@ -260,15 +260,16 @@ def read_tokens(index: DataFrame) -> DataFrame:
     within = Window.partitionBy("bucket").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     buckets = index.groupBy("bucket").agg(F.sum("ids").alias("n"))
     buckets = buckets.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("bucket_start"))
-    starts = (
+    placed = (
         index.withColumn("segment_start", F.coalesce(F.sum("ids").over(within), F.lit(0)))
         .join(buckets, "bucket")
-        .select("bucket", "segment", (F.col("bucket_start") + F.col("segment_start")).alias("base"))
+        .withColumn("base", F.col("bucket_start") + F.col("segment_start"))
     )
     n = partitions(index.sparkSession)
-    found = index.repartition(n, "bucket", "segment").mapInArrow(run, ROWS)
-    return found.join(starts, ["bucket", "segment"]).select(
-        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
+    return (
+        placed.repartition(n, "bucket", "segment")
+        .mapInArrow(run, ROWS)
+        .select("doc_id", "start", "n_tokens", "ids_crc32")
     )
 
 
