@@ -12,6 +12,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of a table has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def uniform(*columns: Column | str) -> Column:
     """A number in (0, 1) that depends on the columns alone, so reruns agree."""
     return (F.shiftrightunsigned(F.xxhash64(*columns), 11) + F.lit(0.5)) / F.lit(float(1 << 53))

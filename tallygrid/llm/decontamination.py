@@ -25,6 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygrid.llm.common import free
 from tallygrid.staging import Staging
 
 SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -123,7 +124,8 @@ def contamination(
         .where(F.col("span") > 0),
     )
     lengths = sorted(r[0] for r in by_length.select("span").distinct().collect())
-    keys = [docs["doc_id"].alias("doc_id"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("_text")]
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    keys = [docs["doc_id"].alias("doc_id"), F.xxhash64(text).alias("_text")]
     texts = docs.select(*keys, docs["text"].cast("string").alias("text"))
     if not lengths:
         spans = texts.limit(0).select("doc_id", "_text", F.lit(0).alias("start"), F.lit(0).alias("end"))
@@ -242,7 +244,9 @@ def decontamination_table(docs: DataFrame, items: DataFrame, staging: Staging) -
 def clean(docs: DataFrame, items: DataFrame, staging: Staging) -> DataFrame:
     """The documents without any hit."""
     spans, _ = contamination(docs, items, staging)
-    bad = spans.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")).distinct()
-    return docs.withColumn("_text", F.xxhash64(F.coalesce(docs["text"], F.lit("")))).join(
-        bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_anti"
-    ).select(*docs.columns)
+    named, text = free(docs, "_named", "_hash")
+    bad = spans.select(F.col("doc_id").alias(named), F.col("_text").alias(text)).distinct()
+    own = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(
+        bad, docs["doc_id"].eqNullSafe(F.col(named)) & (own == F.col(text)), "left_anti"
+    )

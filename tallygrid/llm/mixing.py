@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallygrid.llm.common import uniform
+from tallygrid.llm.common import free, uniform
 from tallygrid.operators.ranking import number_rows
 from tallygrid.staging import Staging
 
@@ -192,7 +192,7 @@ def mix(
     weights: tuple[float, ...] = WEIGHTS,
     most: float = MOST_COPIES,
     seed: int = SEED,
-    fan_in: int = 128,
+    fan_in: int = 512,
 ) -> DataFrame:
     """Every document with the copies that the mix takes of it.
 
@@ -334,19 +334,22 @@ def mix(
 def mixed(docs: DataFrame, staging: Staging, **options) -> DataFrame:
     """The documents themselves, each as often as the mix takes it."""
     plan = mix(docs, staging, **options)
-    copies = plan.groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_plan")).agg(
-        F.sort_array(F.collect_list("copies")).alias("_copies")
+    own, nth, named, text, copies, times, each = free(
+        docs, "_own", "_nth", "_named", "_plan", "_copies", "_times", "_each"
+    )
+    plan = plan.groupBy(F.col("doc_id").alias(named), F.col("_text").alias(text)).agg(
+        F.sort_array(F.collect_list("copies")).alias(copies)
     )
     key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    same = Window.partitionBy("doc_id", "_hash").orderBy("doc_id")
+    same = Window.partitionBy("doc_id", own).orderBy("doc_id")
     return (
-        docs.withColumn("_hash", key)
-        .withColumn("_nth", F.row_number().over(same))
-        .join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_plan")))
-        .withColumn("_times", F.get("_copies", F.col("_nth") - 1).cast("int"))
-        .where(F.col("_times") > 0)
-        .withColumn("_each", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .select(*docs.columns)
+        docs.withColumn(own, key)
+        .withColumn(nth, F.row_number().over(same))
+        .join(plan, F.col("doc_id").eqNullSafe(F.col(named)) & (F.col(own) == F.col(text)))
+        .withColumn(times, F.get(copies, F.col(nth) - 1).cast("int"))
+        .where(F.col(times) > 0)
+        .withColumn(each, F.explode(F.sequence(F.lit(1), F.col(times))))
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import uniform
+from tallygrid.llm.common import free, uniform
 from tallygrid.operators.ranking import number_rows
 from tallygrid.staging import Staging
 
@@ -112,8 +112,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.n
         .limit(sample)
     )
     # At most ``sample`` ids, so the broadcast is bounded.
-    marked = docs.join(F.broadcast(good), docs["doc_id"] == F.col("_good"), "left").select(
-        docs["text"].cast("string").alias("text"), F.col("_good").isNotNull().alias("good")
+    texts = docs.select("doc_id", docs["text"].cast("string").alias("text"))
+    marked = texts.join(F.broadcast(good), F.col("doc_id") == F.col("_good"), "left").select(
+        "text", F.col("_good").isNotNull().alias("good")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,6 +177,7 @@ def resample(
 
 def kept(docs: DataFrame, labels: DataFrame, staging: Staging) -> DataFrame:
     """The documents that are drawn; all rows of an id of which one is."""
-    ids = resample(docs, labels, staging).select(F.col("doc_id").alias("_id")).distinct()
+    (named,) = free(docs, "_named")
+    ids = resample(docs, labels, staging).select(F.col("doc_id").alias(named)).distinct()
     ids = staging.write("drawn", ids)
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col(named)), "left_semi")

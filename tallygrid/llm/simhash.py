@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallygrid.llm.common import free
 from tallygrid.staging import Staging
 
 BITS = 64
@@ -369,5 +370,6 @@ def simhash_table(docs: DataFrame, staging: Staging) -> DataFrame:
 def deduplicated(docs: DataFrame, staging: Staging) -> DataFrame:
     """One document of every component: the one whose id names it."""
     kept = near_duplicates(docs, staging).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    (named,) = free(docs, "_named")
+    kept = kept.select(F.col("doc_id").alias(named)).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col(named)), "left_semi")
