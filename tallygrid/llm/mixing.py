@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallygrid.llm.common import free, uniform
+from tallygrid.llm.common import LOWEST, free, uniform
 from tallygrid.operators.ranking import number_rows
 from tallygrid.staging import Staging
 
@@ -334,18 +334,19 @@ def mix(
 def mixed(docs: DataFrame, staging: Staging, **options) -> DataFrame:
     """The documents themselves, each as often as the mix takes it."""
     plan = mix(docs, staging, **options)
-    own, nth, named, text, copies, times, each = free(
-        docs, "_own", "_nth", "_named", "_plan", "_copies", "_times", "_each"
+    key, own, nth, named, text, copies, times, each = free(
+        docs, "_key", "_own", "_nth", "_named", "_plan", "_copies", "_times", "_each"
     )
-    plan = plan.groupBy(F.col("doc_id").alias(named), F.col("_text").alias(text)).agg(
-        F.sort_array(F.collect_list("copies")).alias(copies)
-    )
-    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    same = Window.partitionBy("doc_id", own).orderBy("doc_id")
+    plan = plan.groupBy(
+        F.coalesce("doc_id", F.lit(LOWEST)).alias(named), F.col("_text").alias(text)
+    ).agg(F.sort_array(F.collect_list("copies")).alias(copies))
+    # Numbering and join use the same two columns without nulls, so the texts move once.
+    same = Window.partitionBy(key, own).orderBy(key)
     return (
-        docs.withColumn(own, key)
+        docs.withColumn(key, F.coalesce(docs["doc_id"].cast("long"), F.lit(LOWEST)))
+        .withColumn(own, F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))))
         .withColumn(nth, F.row_number().over(same))
-        .join(plan, F.col("doc_id").eqNullSafe(F.col(named)) & (F.col(own) == F.col(text)))
+        .join(plan, (F.col(key) == F.col(named)) & (F.col(own) == F.col(text)))
         .withColumn(times, F.get(copies, F.col(nth) - 1).cast("int"))
         .where(F.col(times) > 0)
         .withColumn(each, F.explode(F.sequence(F.lit(1), F.col(times))))
