@@ -152,11 +152,8 @@ def tables(
     t["frame"] = """SELECT stratum, count(*) AS n_frame
       FROM (SELECT DISTINCT stratum, square FROM places) GROUP BY stratum"""
     t["taxa"] = f"SELECT DISTINCT {species} AS species FROM part"
-    t["all_groups"] = f"""SELECT species_group, species FROM (
-      SELECT species_group, species,
-        row_number() OVER (PARTITION BY species_group ORDER BY parts DESC, species) AS place
-      FROM (SELECT {group} AS species_group, {species} AS species, count(*) AS parts
-            FROM part GROUP BY {group}, {species})) WHERE place <= 8"""
+    t["all_groups"] = f"""SELECT {group} AS species_group, {species} AS species FROM part
+      UNION SELECT 'Size ' || CAST(p_size AS VARCHAR), {species} FROM part"""
     t["families"] = """SELECT species, 'nbinomial' AS family FROM taxa
       WHERE TRY_CAST(regexp_extract(species, '([0-9]+)$', 1) AS INTEGER) % 2 = 0"""
     t["common"] = f"""SELECT species FROM all_counts GROUP BY species HAVING count(*) >= {k}"""

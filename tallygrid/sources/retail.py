@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tallygrid.sources.base import SurveySource
 
@@ -95,18 +94,13 @@ class RetailSource(SurveySource):
             )
         )
 
-    def groups(self, size: int = 8) -> DataFrame:
-        """Per group the ``size`` species with most parts; ties go to the first name."""
-        parts = self.table("part").groupBy(
-            F.col(self.group_column).alias("species_group"),
-            F.col(self.species_column).alias("species"),
-        ).agg(F.count(F.lit(1)).alias("parts"))
-        order = Window.partitionBy("species_group").orderBy(F.desc("parts"), "species")
-        return (
-            parts.withColumn("place", F.row_number().over(order))
-            .filter(F.col("place") <= size)
-            .select("species_group", "species")
-        )
+    def groups(self) -> DataFrame:
+        """Every species of a kind of part and of a size of part, so groups overlap and differ in size."""
+        species = F.col(self.species_column).alias("species")
+        part = self.table("part")
+        kinds = part.select(F.col(self.group_column).alias("species_group"), species)
+        sizes = part.select(F.concat(F.lit("Size "), F.col("p_size").cast("string")), species)
+        return kinds.union(sizes).distinct()
 
     def families(self) -> DataFrame:
         """A chosen family for species with an even number; the others keep the default."""
