@@ -383,6 +383,21 @@ def _six(*columns: str) -> str:
     return ", ".join(R6.format(c) for c in columns)
 
 
+def _apart(*columns: str) -> str:
+    """Values behind their lengths."""
+    return " || '|' || ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}, '-')" for c in columns)
+
+
+def _digest(*columns: str) -> str:
+    """Sums of both halves of the MD5 of all rows."""
+    halves = [
+        f"CAST(sum(('0x' || substr(md5({_apart(*columns)}), {first}, 16))::UBIGINT::HUGEINT) AS VARCHAR)"
+        for first in (1, 17)
+    ]
+    return " || '-' || ".join(halves)
+
+
+PHI = "(SELECT species, greatest(coalesce(phi, 1), 1) AS phi FROM dispersion)"
 STRICT = {"min_cycle": 3, "proportion": 0.95}
 SQUARE_LINES = f"""SELECT species, frequency, square, t, label, n, c, imputed, {_six('b', 'var')}
 FROM ({_fill('square_grid', 'species, frequency, square')})"""
@@ -437,13 +452,12 @@ def oracle() -> dict[str, str]:
       SELECT speciesgroup AS name, lower(replace(replace(speciesgroup, ' ', '-'), '''', '')) AS label,
         CASE WHEN composite THEN 'index/' ELSE 'species/' END AS folder
       FROM (SELECT DISTINCT speciesgroup, composite FROM meta))""")
-    sql["table_fingerprint"] = s("""SELECT count(*) AS n_rows, CAST(sum(
-        ('0x' || substr(md5(species || '|' || sample_id || '|' || count), 1, 15))::BIGINT::HUGEINT) AS VARCHAR) AS digest
+    sql["table_fingerprint"] = s(f"""SELECT count(*) AS n_rows, {_digest('species', 'sample_id', 'count')} AS digest
       FROM all_counts""")
-    sql["analysis_fingerprint"] = s("""SELECT analysis, sha1(analysis || '|' || model_type || '|' || digest) AS fingerprint
+    sql["analysis_fingerprint"] = s(f"""SELECT analysis,
+        sha1({_apart('analysis', 'model_type')} || '|' || digest) AS fingerprint
       FROM models m JOIN analyses a USING (analysis) JOIN (
-        SELECT species, CAST(sum(('0x' || substr(md5(species || '|' || stratum || '|' || year || '|' || n || '|' || c),
-          1, 15))::BIGINT::HUGEINT) AS VARCHAR) AS digest
+        SELECT species, {_digest('species', 'stratum', 'year', 'n', 'c')} AS digest
         FROM cells WHERE frequency = 'year' GROUP BY species) d USING (species)""")
     sql["valid_samples"] = s("SELECT sample_id, point_id, strftime(start_date, '%Y-%m-%d') AS day FROM valid")
     sql["season_visits"] = s("SELECT * FROM visits")
@@ -501,8 +515,7 @@ def oracle() -> dict[str, str]:
     sql["effort"] = s("SELECT * FROM effort")
     sql["effort_history"] = s(f"""SELECT stratum, square, usable, years[1] AS first_year, years[-1] AS last_year,
         {', '.join(f'years[{i}]::DOUBLE AS year_{i}' for i in range(2, 8))},
-        row_number() OVER (ORDER BY years[1], years[-1], years[2] NULLS LAST, years[3] NULLS LAST, years[4] NULLS LAST,
-          years[5] NULLS LAST, years[6] NULLS LAST, years[7] NULLS LAST, square, stratum) AS place
+        row_number() OVER (ORDER BY years[1], years[-1], list_append(years, 2147483647), square, stratum) AS place
       FROM square_years""")
     sql["effort_histogram"] = s("SELECT stratum, usable, CAST(len(years) AS INTEGER) AS n_years, count(*) AS squares FROM square_years GROUP BY ALL")
     sql["potential_squares"] = s(f"""WITH n AS (
@@ -523,6 +536,25 @@ def oracle() -> dict[str, str]:
     sql["pairwise_index"] = s(f"SELECT species, frequency, reference, alternative, {four} FROM pairs")
     sql["moving_trend"] = s(f'SELECT species, frequency, "window", midpoint, mid_year, {four} FROM trends')
     sql["linear_trend"] = s(f"SELECT species, frequency, {four} FROM linear")
+    sql["linear_trend_overdispersed"] = s(f"""SELECT species, frequency, {four} FROM (SELECT *, {_limits()} FROM (
+        SELECT species, frequency, sum(weight * beta) AS estimate, sum(weight * weight * var_beta * phi) AS variance
+        FROM lines JOIN weights USING (species, stratum) JOIN {PHI} USING (species) GROUP BY species, frequency))""")
+    sql["linear_estimate_overdispersed"] = s(f"""SELECT species, frequency, t, label, {four} FROM (
+      SELECT *, {_limits()} FROM (
+        SELECT species, frequency, e.t, e.label, sum(weight * (alpha + beta * e.t)) AS estimate,
+          sum(weight * weight * phi * (1 / sw + (e.t - mean_t) * (e.t - mean_t) * var_beta)) AS variance
+        FROM lines JOIN weights USING (species, stratum) JOIN {PHI} USING (species)
+        JOIN estimates e USING (species, frequency) GROUP BY species, frequency, e.t, e.label))""")
+    sql["linearity_verdict_overdispersed"] = s(f"""SELECT species, frequency, difference,
+        CASE WHEN difference <= -2 THEN 'non-linear'
+          WHEN difference <= 0 THEN 'possibly non-linear' ELSE 'linear' END AS verdict,
+        {_six('ic_linear', 'ic_non_linear')}
+      FROM (SELECT *, round(ic_non_linear - ic_linear, 6) AS difference FROM (
+        SELECT species, frequency, 2.0::DOUBLE * count(*) AS ic_non_linear, 4.0::DOUBLE * count(DISTINCT stratum)
+          + 2 * sum((CASE WHEN c > 0 THEN c * ln(c / mu) ELSE 0 END - (c - mu)) / phi) AS ic_linear
+        FROM (SELECT e.*, n * exp(alpha + beta * t) AS mu FROM effects e JOIN lines l
+              USING (species, frequency, stratum) WHERE NOT imputed) JOIN {PHI} USING (species)
+        GROUP BY species, frequency))""")
     sql["linear_estimate"] = s(f"SELECT species, frequency, t, label, {four} FROM linear_levels")
     sql["exact_lines"] = _exact_lines()
     sql["contrast_table"] = s("SELECT species, frequency, kind, name, stratum, t, round(coef, 6) AS coef FROM contrasts")

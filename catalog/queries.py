@@ -379,6 +379,21 @@ def linear_estimate(spark, folder):
     return _contrast(survey(spark, folder).linear_estimate, "species", "frequency", "t", "label")
 
 
+def linear_trend_overdispersed(spark, folder):
+    sv = survey(spark, folder, overdispersion=True)
+    return _contrast(sv.linear_trend, "species", "frequency")
+
+
+def linear_estimate_overdispersed(spark, folder):
+    sv = survey(spark, folder, overdispersion=True)
+    return _contrast(sv.linear_estimate, "species", "frequency", "t", "label")
+
+
+def linearity_verdict_overdispersed(spark, folder):
+    keys = ["species", "frequency", "difference", "verdict"]
+    return rounded(survey(spark, folder, overdispersion=True).verdicts, keys, "ic_linear", "ic_non_linear")
+
+
 def exact_lines(spark, folder):
     fits = effects.exact_fits(survey(spark, folder).effects)
     precise = F.round("var_beta", 8).alias("var_beta")
@@ -582,6 +597,8 @@ QUERIES: dict[str, Query] = {
         moving_trend,
         linear_trend,
         linear_estimate,
+        linear_trend_overdispersed,
+        linear_estimate_overdispersed,
         exact_lines,
         contrast_table,
         contrast_estimates,
@@ -589,6 +606,7 @@ QUERIES: dict[str, Query] = {
         parse_contrast_names,
         choose_family,
         linearity_verdict,
+        linearity_verdict_overdispersed,
         composite_members,
         composite_index,
         composite_moving_trend,

@@ -16,6 +16,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
+def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Length and time of the last change of a file or folder."""
+    fs, location = locate(spark, path)
+    status = fs.getFileStatus(location)
+    return status.getLen(), status.getModificationTime()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, location = locate(spark, path)
     fs.delete(location, True)

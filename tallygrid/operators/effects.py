@@ -168,12 +168,14 @@ def choose_family(evidence: DataFrame, max_phi: float = 1.5, max_zero_ratio: flo
 
 
 def inflate_variance(effects: DataFrame, evidence: DataFrame) -> DataFrame:
-    """Quasi-Poisson: variances times the overdispersion of the species, if above one."""
-    phi = F.greatest(F.coalesce("phi", F.lit(1.0)), F.lit(1.0))
+    """Quasi-Poisson: variances times the overdispersion of the species, if above one.
+
+    ``phi`` stays with the effects, so that lines and criteria are scaled by it as well.
+    """
     return (
         effects.join(evidence.select("species", "phi"), "species", "left")
-        .withColumn("var", F.col("var") * phi)
-        .drop("phi")
+        .withColumn("phi", F.greatest(F.coalesce("phi", F.lit(1.0)), F.lit(1.0)))
+        .withColumn("var", F.col("var") * F.col("phi"))
     )
 
 
@@ -183,16 +185,22 @@ def weighted(effects: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def _line_keys(effects: DataFrame) -> list[str]:
-    """A line has one weight; it is kept if the effects carry it."""
-    return LINE + [c for c in ("weight",) if c in effects.columns]
+    """A line has one weight and one overdispersion; they are kept if the effects carry them."""
+    return LINE + [c for c in ("weight", "phi") if c in effects.columns]
+
+
+def _phi(df: DataFrame) -> Column:
+    """Overdispersion of a row; 1 where none was estimated."""
+    return F.col("phi") if "phi" in df.columns else F.lit(1.0)
 
 
 def line_fits(effects: DataFrame) -> DataFrame:
     """Weighted regression of the observed effects on time, per species and stratum.
 
     Weights are the totals behind the effects (half an individual for none). ``alpha`` is the
-    level at t = 0, ``beta`` the slope, ``mean_t`` the weighted mean time. A stratum with a
-    single time step has slope 0.
+    level at t = 0, ``beta`` the slope, ``mean_t`` the weighted mean time, ``sw`` the inverse
+    variance of the level at that time. A stratum with a single time step has slope 0.
+    Overdispersion of the effects multiplies both variances.
     """
     w = F.when(F.col("c") > 0, F.col("c").cast("double")).otherwise(0.5)
     x, y = F.col("t"), F.col("b")
@@ -215,11 +223,11 @@ def line_fits(effects: DataFrame) -> DataFrame:
         .withColumn("beta", F.when(F.col("det") > 0, beta).otherwise(0.0))
         .select(
             *keys,
-            "sw",
+            (F.col("sw") / _phi(effects)).alias("sw"),
             ((F.col("swy") - F.col("beta") * F.col("swx")) / F.col("sw")).alias("alpha"),
             "beta",
             (F.col("swx") / F.col("sw")).alias("mean_t"),
-            F.when(F.col("det") > 0, F.col("sw") / F.col("det")).otherwise(0.0).alias("var_beta"),
+            F.when(F.col("det") > 0, _phi(effects) * F.col("sw") / F.col("det")).otherwise(0.0).alias("var_beta"),
         )
     )
 
@@ -268,11 +276,11 @@ def exact_fits(effects: DataFrame, steps: int = 8) -> DataFrame:
     det = F.col("w") * F.col("wxx") - F.col("wx") * F.col("wx")
     return info.select(
         *keys,
-        F.col("w").alias("sw"),
+        (F.col("w") / _phi(effects)).alias("sw"),
         "fit.alpha",
         "fit.beta",
         (F.col("wx") / F.col("w")).alias("mean_t"),
-        F.when(det > 0, F.col("w") / det).otherwise(0.0).alias("var_beta"),
+        F.when(det > 0, _phi(effects) * F.col("w") / det).otherwise(0.0).alias("var_beta"),
     )
 
 
@@ -280,18 +288,18 @@ def information_criteria(effects: DataFrame, fits: DataFrame) -> DataFrame:
     """Akaike's criterion of both models per species and frequency, up to a shared constant.
 
     The non-linear model has a parameter per observed cell and no deviance; the linear one has
-    two per stratum and the deviance of its lines.
+    two per stratum and the deviance of its lines, divided by the overdispersion if there is one.
     """
     mu = F.col("n") * F.exp(F.col("alpha") + F.col("beta") * F.col("t"))
     log_part = F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / mu)).otherwise(0.0)
     sums = (
         effects.filter(~F.col("imputed"))
-        .join(fits.drop("weight"), LINE)
+        .join(fits.drop("weight", "phi"), LINE)
         .groupBy(*SERIES)
         .agg(
             F.count(F.lit(1)).alias("cells"),
             F.countDistinct("stratum").alias("lines"),
-            F.sum(log_part - (F.col("c") - mu)).alias("half_deviance"),
+            F.sum((log_part - (F.col("c") - mu)) / _phi(effects)).alias("half_deviance"),
         )
     )
     return sums.select(

@@ -34,23 +34,23 @@ def with_usable(squares: DataFrame, base_year: int, cycle_len: int = 3) -> DataF
 def effort_history(
     squares: DataFrame, base_year: int, staging: Staging, cycle_len: int = 3, depth: int = 7
 ) -> DataFrame:
-    """Order of the squares by their history: first and last year, then the second to seventh.
+    """Order of the squares by their history: first and last year, then all years in turn.
 
-    Squares without such a year come last, equal histories are ordered by square.
+    A history that ends earlier comes last, equal histories are ordered by square. ``depth`` is
+    the number of years that are shown in columns of their own; it does not affect the order.
     """
+    beyond = F.array(F.lit((1 << 31) - 1))  # after every year
     wide = with_usable(squares, base_year, cycle_len).select(
         "stratum",
         "square",
         "usable",
+        F.concat("years", beyond).alias("_history"),
         F.element_at("years", 1).alias("first_year"),
         F.element_at("years", -1).alias("last_year"),
         *[F.try_element_at("years", F.lit(k)).alias(f"year_{k}") for k in range(2, depth + 1)],
     )
-    order = [
-        F.col(c).asc_nulls_last()
-        for c in ["first_year", "last_year", *[f"year_{k}" for k in range(2, depth + 1)], "square", "stratum"]
-    ]
-    return number_rows(wide, order, "place", staging)
+    order = [F.col(c).asc_nulls_last() for c in ("first_year", "last_year", "_history", "square", "stratum")]
+    return number_rows(wide, order, "place", staging).drop("_history")
 
 
 def effort_histogram(squares: DataFrame, base_year: int, cycle_len: int = 3) -> DataFrame:

@@ -98,10 +98,20 @@ def analysis_dag(species_analyses: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def row_digest(columns: list[str]) -> Column:
-    """First 60 bits of the MD5 of a row as a number; NULL differs from an empty text."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10)
+def _told_apart(value: Column) -> Column:
+    """A value behind its length, so that no text can look like NULL or like two values."""
+    text = value.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def digest_sum(columns: list[str]) -> Column:
+    """Sums of both halves of the MD5 of all rows, as text."""
+    row = F.md5(F.concat_ws("|", *[_told_apart(F.col(c)) for c in columns]))
+    halves = [
+        F.sum(F.conv(F.substring(row, first, 16), 16, 10).cast("decimal(20,0)")).cast("string")
+        for first in (1, 17)
+    ]
+    return F.concat_ws("-", *halves)
 
 
 def table_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -111,19 +121,17 @@ def table_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.sum(row_digest(columns).cast("decimal(20,0)")).cast("string").alias("digest"),
+        digest_sum(columns).alias("digest"),
     )
 
 
 def analysis_fingerprint(definition: DataFrame, data: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Fingerprint of a definition and the data it is applied to, per analysis."""
-    digests = data.groupBy(*keys).agg(
-        F.sum(row_digest(columns).cast("decimal(20,0)")).cast("string").alias("data_digest")
-    )
-    fields = [c for c in definition.columns]
+    digests = data.groupBy(*keys).agg(digest_sum(columns).alias("data_digest"))
+    fields = [_told_apart(F.col(c)) for c in definition.columns]
     return definition.join(digests, keys, "left").select(
         *keys,
         F.sha1(
-            F.concat_ws("|", *[F.col(c).cast("string") for c in fields], F.coalesce("data_digest", F.lit("0")))
+            F.concat_ws("|", *fields, F.coalesce("data_digest", F.lit("0")))
         ).alias("fingerprint"),
     )

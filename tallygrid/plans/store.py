@@ -22,7 +22,7 @@ LIMITS = {
 def dataset_tables(survey: Survey) -> dict[str, tuple[DataFrame, list[str], dict[str, str]]]:
     """Tables of the dataset with their sorting columns and comments, counts excepted."""
     source = survey.source
-    points = source.points()
+    points = source.points(survey.design.end_date)
     return {
         "stratum": (
             survey.frame_sizes,
@@ -39,7 +39,7 @@ def dataset_tables(survey: Survey) -> dict[str, tuple[DataFrame, list[str], dict
             ["point_id"],
             {"point_id": "identifier of the point", "square": "square of the point"},
         ),
-        "species": (source.species(), ["species"], {"species": "identifier of the species"}),
+        "species": (source.species(survey.design.end_date), ["species"], {"species": "identifier of the species"}),
         "species_group": (source.groups(), ["species_group", "species"], {"species": "member"}),
         "visit": (
             survey.visits,

@@ -78,13 +78,18 @@ class Survey:
         if self.staging is None:
             self.staging = Staging(self.spark)
 
+    @cached_property
+    def _source_identity(self) -> str:
+        return self.source.identity
+
     def stage(self, name: str, build: Callable[[], DataFrame], fields: Sequence[str] | None = None) -> DataFrame:
         """A stored table that depends on the given fields of the design, on all by default.
 
-        Surveys of one source that share a ``staging`` share the tables that their designs
+        Surveys of the same source that share a ``staging`` share the tables that their designs
         have in common.
         """
-        values = [getattr(self.design, f) for f in fields] if fields else self.design
+        design = [getattr(self.design, f) for f in fields] if fields else self.design
+        values = (self._source_identity, design)
         return self.staging.table(f"{name}-{hashlib.md5(repr(values).encode()).hexdigest()[:8]}", build)
 
     # --- samples and counts
@@ -123,7 +128,7 @@ class Survey:
     def point_effort(self) -> DataFrame:
         return self.stage(
             "point_effort",
-            lambda: relevance.point_effort(self.visits, self.source.points()),
+            lambda: relevance.point_effort(self.visits, self.source.points(self.design.end_date)),
             VISIT_FIELDS,
         )
 

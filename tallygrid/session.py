@@ -6,7 +6,9 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution splits hot join keys, also where the split costs a second exchange,
 # and turns a join into a broadcast only after it has measured the side.
+# Years, seasons and periods of a visit must not depend on where the session runs.
 RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

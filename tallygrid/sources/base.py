@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from abc import ABC, abstractmethod
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,12 @@ class SurveySource(ABC):
 
     project: str
 
+    @cached_property
+    def identity(self) -> str:
+        """Tells stored stages of different sources apart. Each object is a source of its own
+        unless a kind of source can say which data it reads."""
+        return uuid.uuid4().hex
+
     @abstractmethod
     def samples(self) -> DataFrame:
         """One row per sample (a count at a point during a visit)."""
@@ -24,15 +32,17 @@ class SurveySource(ABC):
         """Records of a species in a sample."""
 
     @abstractmethod
-    def points(self) -> DataFrame:
-        """Points with the square and stratum they lie in."""
+    def points(self, end_date=None) -> DataFrame:
+        """Points with the square and stratum they lie in; only of samples up to an end date
+        where the source takes them from the samples."""
 
     @abstractmethod
     def frame(self) -> DataFrame:
         """Sampling frame: every square that could have been drawn, with its stratum."""
 
     @abstractmethod
-    def species(self) -> DataFrame: ...
+    def species(self, end_date=None) -> DataFrame:
+        """Species of the survey; likewise up to an end date."""
 
     @abstractmethod
     def groups(self) -> DataFrame:

@@ -127,7 +127,7 @@ class OperationalSource(SurveySource):
             F.concat(F.lit(self.square_prefix), F.col("ExternalCode")).alias("square"),
         )
 
-    def points(self) -> DataFrame:
+    def points(self, end_date=None) -> DataFrame:
         """Points of valid samples; a square gets its stratum from the frame by its name."""
         from tallygrid.operators.samples import valid_locations
 
@@ -136,17 +136,17 @@ class OperationalSource(SurveySource):
         )
         strata = self.frame().filter(F.col("stratum").isNotNull())
         return (
-            valid_locations(self.samples(), self.project)
+            valid_locations(self.samples(), self.project, end_date=end_date)
             .join(names, "square_id")
             .join(strata, "square")
             .select("point_id", "square", "stratum")
         )
 
-    def species(self) -> DataFrame:
+    def species(self, end_date=None) -> DataFrame:
         """Species of the projects that hold valid observations, whatever the species seen."""
         from tallygrid.operators.samples import valid_samples
 
-        samples = valid_samples(self.samples(), self.project).select("sample_id", "project")
+        samples = valid_samples(self.samples(), self.project, end_date).select("sample_id", "project")
         active = (
             self.observations().join(samples, "sample_id").select("project").distinct()
         )

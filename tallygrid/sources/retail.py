@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallygrid import files
 from tallygrid.sources.base import SurveySource
 
 
@@ -25,6 +26,13 @@ class RetailSource(SurveySource):
         self.stratum_column = stratum
         self.group_column = "p_type" if species != "p_type" else "p_brand"
 
+    @property
+    def identity(self) -> str:
+        """Folder, columns and the state of the files, so that replaced files are read anew."""
+        names = ("region", "nation", "customer", "part", "orders", "lineitem")
+        state = [files.stamp(self.spark, f"{self.folder}/{name}.parquet") for name in names]
+        return repr((type(self).__name__, self.folder, self.species_column, self.stratum_column, state))
+
     def table(self, name: str) -> DataFrame:
         """A table; its schema is read from the files once per source."""
         if name not in self._tables:
@@ -62,7 +70,7 @@ class RetailSource(SurveySource):
             "l_partkey"
         )
 
-    def points(self) -> DataFrame:
+    def points(self, end_date=None) -> DataFrame:
         places = self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
@@ -79,7 +87,7 @@ class RetailSource(SurveySource):
     def frame(self) -> DataFrame:
         return self.points().select("stratum", "square").distinct()
 
-    def species(self) -> DataFrame:
+    def species(self, end_date=None) -> DataFrame:
         taxon = F.col(self.species_column)
         return (
             self.table("part")

@@ -35,7 +35,7 @@ class MemorySource(SurveySource):
             self.observation_rows, "sample_id long, species string, number_min int"
         )
 
-    def points(self):
+    def points(self, end_date=None):
         return self.spark.createDataFrame(
             self.point_rows, "point_id long, square string, stratum string"
         )
@@ -43,7 +43,7 @@ class MemorySource(SurveySource):
     def frame(self):
         return self.spark.createDataFrame(self.frame_rows, "stratum string, square string")
 
-    def species(self):
+    def species(self, end_date=None):
         names = self.observations().select("species").distinct()
         return names.select("species", *[F.col("species").alias(c) for c in ("scientific_name", "name", "euring", "reference")])
 

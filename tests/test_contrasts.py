@@ -191,6 +191,22 @@ def test_overdispersion_widens_intervals(spark):
     v = {(r.species, r.frequency, r.label): r.variance for r in plain.estimates.collect()}
     for r in wide.estimates.collect():
         assert r.variance == pytest.approx(phi[r.species] * v[r.species, r.frequency, r.label])
+    for exact in (False, True):
+        fit = effects.exact_fits if exact else effects.line_fits
+        slope = {(r.species, r.frequency): r for r in contrasts.linear_trend(fit(plain.effects)).collect()}
+        for r in contrasts.linear_trend(fit(wide.effects)).collect():
+            one = slope[r.species, r.frequency]
+            assert r.estimate == pytest.approx(one.estimate)
+            assert r.variance == pytest.approx(phi[r.species] * one.variance)
+    level = {(r.species, r.frequency, r.t): r.variance for r in plain.linear_estimate.collect()}
+    for r in wide.linear_estimate.collect():
+        assert r.variance == pytest.approx(phi[r.species] * level[r.species, r.frequency, r.t])
+    ic = {(r.species, r.frequency): r for r in plain.criteria.collect()}
+    for r in wide.criteria.collect():
+        one = ic[r.species, r.frequency]
+        lines = plain.lines.filter((F.col("species") == r.species) & (F.col("frequency") == r.frequency)).count()
+        assert r.ic_non_linear == one.ic_non_linear
+        assert r.ic_linear - 4 * lines == pytest.approx((one.ic_linear - 4 * lines) / phi[r.species])
 
 
 def test_choose_family(spark):

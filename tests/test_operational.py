@@ -5,7 +5,9 @@ import datetime
 import pytest
 
 from tallygrid import Survey, SurveyDesign
+from tallygrid.plans.store import dataset_tables
 from tallygrid.schema import CANONICAL_COLUMNS, MissingColumns
+from tallygrid.session import configure
 from tallygrid.sources import OperationalSource, catalog_reader, jdbc_reader, parquet_reader
 
 D = datetime.datetime
@@ -106,3 +108,30 @@ def test_jdbc_reader_needs_a_driver(spark):
     read = jdbc_reader(spark, "jdbc:nodb://host/db", scheme="public", user="me")
     with pytest.raises(Exception, match="(?i)driver"):
         read("projects_project")
+
+
+def test_nothing_after_the_end_date(spark):
+    own = tables(spark)
+    more = {
+        "fieldwork_visit": [(9100, 1, 103, D(2015, 1, 1, 0, 0, 1), 1)],
+        "fieldwork_sample": [(91001, 9100, 1031, False)],
+        "fieldwork_observation": [(91001, 7, 3)],
+        "locations_location": [(103, "GRID_103")],
+    }
+    for name, rows in more.items():
+        own[name] = own[name].unionAll(spark.createDataFrame(rows, own[name].schema))
+    source = OperationalSource(own.__getitem__, "birds", "GRID_", " (birds)", "catalogue_code")
+    squares = lambda end: {r.square for r in source.points(end).select("square").distinct().collect()}
+    assert "GRID_103" in squares(None) and "GRID_103" in squares(D(2015, 1, 1, 0, 0, 1))
+    assert "GRID_103" not in squares(D(2015, 1, 1))
+    assert source.species(D(2015, 1, 1)).count() == 1 and source.species(D(2000, 1, 1)).count() == 0
+    end = SurveyDesign(min_observation=10, end_date=D(2015, 1, 1))
+    stored = dataset_tables(Survey(spark, source, end))
+    assert stored["square"][0].filter("square = 'GRID_103'").count() == 0
+    assert stored["point"][0].filter("point_id = 1031").count() == 0
+
+
+def test_session_zone_is_set(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    assert configure(other).conf.get("spark.sql.session.timeZone") == "UTC"

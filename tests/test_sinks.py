@@ -1,7 +1,9 @@
 import pytest
+from fixtures import random_survey
 from pyspark.sql import functions as F
 
-from tallygrid import files
+from tallygrid import Survey, files
+from tallygrid.operators.effort import effort_history
 from tallygrid.operators.lineage import analysis_fingerprint, table_fingerprint
 from tallygrid.operators.ranking import number_rows
 from tallygrid.schema import MissingColumns, column_comments, describe_columns, require_columns
@@ -119,6 +121,27 @@ def test_fingerprint_ignores_order_and_sees_changes(spark, counts):
     assert digest(counts) != digest(counts.unionAll(counts.limit(1)))
     null = counts.withColumn("species", F.lit(None).cast("string"))
     assert digest(null) != digest(counts.withColumn("species", F.lit("")))
+    assert digest(null) != digest(counts.withColumn("species", F.lit("\\N")))
+    assert digest(null) != digest(counts.withColumn("species", F.lit("-")))
+    pair = lambda a, b: table_fingerprint(spark.createDataFrame([(a, b)], "a string, b string"), ["a", "b"]).first().digest
+    assert pair("a|b", "c") != pair("a", "b|c") and pair("a|1:b", "c") != pair("a", "b|1:c")
+
+
+def test_stages_of_two_sources_are_told_apart(spark):
+    staging = Staging(spark)
+    counts = [
+        Survey(spark, random_survey(spark, seed, n_samples=n), staging=staging, keep_counts=True).counts.count()
+        for seed, n in ((1, 60), (2, 120), (1, 60))
+    ]
+    assert counts[0] == counts[2] != counts[1]
+
+
+def test_whole_history_orders_squares(spark):
+    long = list(range(2000, 2010))
+    rows = [("s", "a", [*long, 2012, 2014]), ("s", "b", [*long, 2011, 2014]), ("s", "c", [*long, 2014]), ("s", "d", [2000, 2014])]
+    squares = spark.createDataFrame(rows, "stratum string, square string, years array<int>")
+    got = effort_history(squares, 2000, Staging(spark)).orderBy("place").collect()
+    assert [r.square for r in got] == ["b", "a", "c", "d"]
 
 
 def test_analysis_fingerprint_depends_on_definition_and_data(spark, counts):
