@@ -4,100 +4,130 @@ Blocks start afresh and are coded independently of each other. Within a block or
 the next id by the last two and order 1 by the last one: each gives the id that followed last
 time, with a counter of how often that held. A symbol says which prediction is right, or that
 none is; then the id itself follows by the order-0 frequencies, which are counted over all
-blocks of a batch and kept with them. The symbol's frequencies are mixed from two adaptive
+blocks of a batch and kept with them. The symbol's distribution is mixed from two adaptive
 tables, one seen through the counters of both predictions and one through the last two symbols;
-a weight moves towards the table that has given the right symbol more. A carry-less range coder
-with 64 bits writes 16 bits at a time.
+at every fourth id a
+weight moves towards the table that has given the right symbol more. Both distributions have a
+power of two as their sum, so that symbol and id take one step of the range coder together. It
+writes 16 bits at a time; carries are added to the written words at the end.
 
 All blocks of a batch are coded side by side: every operation below is on one number per block.
+Blocks that are shorter than the first repeat their last id once, which decoding drops.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-WORDS_PER_TOKEN = 3
-SURE = 3  # largest value of a counter
-TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-W16, W48, ALL = np.uint64(16), np.uint64(48), np.uint64(0xFFFFFFFFFFFFFFFF)
-HASH1, HASH2 = 10, 11  # bits of the tables of predictions
-STEP, LIMIT = 24, 2000
-WEIGHT = 16
-SCALE = 1 << 19  # order-0 frequencies add up to this, and one more at most for each id
+SURE = 3  # largest value of a counter, in the lower two bits of a prediction
+HASH1, HASH2 = 8, 9  # bits of the tables of predictions
+WEIGHT, OFTEN = 16, 4  # sum of the two weights; they move at every fourth id
+RATE_A, RATE_B = 5, 4  # the tables of distributions move by 1/32 and 1/16 of the way
+
+# A distribution of three symbols is two running sums of 16 bits, in the halves of a number.
+ONE = 0xFFFF
+HALVES = ONE << 32 | ONE
+SYMBOL_BITS, ID_BITS = 12, 18
+SYMBOLS, IDS = 1 << SYMBOL_BITS, 1 << ID_BITS
+BITS = SYMBOL_BITS + ID_BITS
+NO_ID = 1 << 16  # stands for the id where a prediction was right
+# The width of the range is from 2**40 to 2**56; the range reaches up to 2**57.
+FLOOR, WIDEST = 1 << 40, 1 << 56
 
 
 def frequencies(ids: np.ndarray) -> np.ndarray:
-    """Order-0 frequency of each of the 65536 ids; 0 for those that do not occur."""
+    """Order-0 frequency of each of the 65536 ids, ``IDS`` in all; 0 for those that do not occur."""
     counts = np.bincount(ids, minlength=1 << 16)
-    return np.where(counts > 0, np.maximum(1, counts * SCALE // max(1, len(ids))), 0)
+    there = (counts > 0).astype(np.int64)
+    out = there + counts * (IDS - there.sum()) // max(1, len(ids))
+    out[counts.argmax()] += IDS - out.sum()
+    return out
+
+
+def _both(first: float, second: float) -> int:
+    """A distribution by the probabilities of its first two symbols."""
+    return int(first * ONE) | int((first + second) * ONE) << 32
+
+
+def _at_first() -> np.ndarray:
+    """Where the distributions by counters start: the surer a prediction, the likelier it is."""
+    out = []
+    for context in range(32):
+        sure2, sure1, agree = context >> 3, context >> 1 & 3, context & 1
+        first = (0.1, 0.4, 0.6, 0.8)[sure2]
+        out.append(_both(first, (1 - first) * (0.02 if agree else (0.1, 0.3, 0.5, 0.7)[sure1])))
+    return np.array(out, np.int64)
+
+
+def _moves(rate: int) -> tuple[int, int, np.ndarray]:
+    """Shift, mask and increments per symbol that move both sums towards a symbol."""
+    step = ONE >> rate
+    return rate, step << 32 | step, np.array([step << 32 | step, step << 32, 0], np.int64)
 
 
 class _Models:
-    """State of all blocks: predictions, counters, frequencies of the symbols."""
+    """State of all blocks: predictions with counters, distributions of the symbols, weights."""
 
     def __init__(self, lanes: int):
-        self.row = np.arange(lanes, dtype=np.int32)
-        self.row1, self.row2 = self.row << HASH1, self.row << HASH2
-        self.next1 = np.zeros(lanes << HASH1, np.int32)
-        self.next2 = np.zeros(lanes << HASH2, np.int32)
-        self.sure1 = np.zeros(lanes << HASH1, np.int32)
-        self.sure2 = np.zeros(lanes << HASH2, np.int32)
+        row = np.arange(lanes)
+        self.row1, self.row2 = row << HASH1, row << HASH2
+        self.row_a, self.row_b = row << 5, row << 4
+        self.guess1 = np.zeros(lanes << HASH1, np.int32)
+        self.guess2 = np.zeros(lanes << HASH2, np.int32)
+        self.by_sure = np.tile(_at_first(), lanes)
+        self.by_past = np.full(lanes << 4, _both(0.2, 0.1), np.int64)
+        self.moves_a, self.moves_b = _moves(RATE_A), _moves(RATE_B)
         self.last = np.zeros(lanes, np.int32)
         self.mark = np.zeros(lanes, np.int32)  # hash of the id before the last
-        self.by_sure = np.ones(lanes * 32 * 4, np.int32)
-        self.by_past = np.ones(lanes * 16 * 4, np.int32)
-        self.past = np.zeros(lanes, np.int32)
-        self.weight = np.full(lanes, WEIGHT // 2, np.int32)
-
-    def shrink(self, lanes: int) -> None:
-        """Go on with the first blocks only."""
-        for name in ("row", "row1", "row2", "last", "mark", "past", "weight"):
-            setattr(self, name, getattr(self, name)[:lanes])
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Mixed frequencies of the three symbols."""
-        hashed = self.last * 10007
+        self.past = np.zeros(lanes, np.int64)
+        self.weight = np.full(lanes, WEIGHT // 2, np.int64)
+        self.seen = 0
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the mixed frequencies up to the first and up to the second symbol."""
+        hashed = self.last * np.int32(10007)
         self.at1 = self.row1 + (hashed >> 3 & (1 << HASH1) - 1)
         self.at2 = self.row2 + (hashed + self.mark >> 4 & (1 << HASH2) - 1)
-        self.mark = self.last * 3001
-        self.p1, self.p2 = self.next1.take(self.at1), self.next2.take(self.at2)
-        self.c1, self.c2 = self.sure1.take(self.at1), self.sure2.take(self.at2)
-        context = (self.c2 << 3) + (self.c1 << 1) + (self.p1 == self.p2)
-        self.in_a = (self.row << 5) + context << 2
-        self.in_b = (self.row << 4) + self.past << 2
-        self.a = [self.by_sure.take(self.in_a + i) for i in range(3)]
-        self.b = [self.by_past.take(self.in_b + i) for i in range(3)]
-        other = WEIGHT - self.weight
-        f = [(a * self.weight + b * other >> 4) + 1 for a, b in zip(self.a, self.b, strict=True)]
-        return f[0], f[1], f[2]
-
-    def symbol(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids == self.p2, 0, np.where(ids == self.p1, 1, 2)).astype(np.int32)
-
-    def update(self, ids: np.ndarray, symbol: np.ndarray) -> None:
-        total_a, total_b = self.a[0] + self.a[1] + self.a[2], self.b[0] + self.b[1] + self.b[2]
-        at_a, at_b = self.in_a + symbol, self.in_b + symbol
-        had_a, had_b = self.by_sure.take(at_a), self.by_past.take(at_b)
-        move = (had_a * total_b > had_b * total_a) * 2 - 1
-        self.weight = np.clip(self.weight + move.astype(np.int32), 1, WEIGHT - 1)
-        self.by_sure[at_a] = had_a + STEP
-        self.by_past[at_b] = had_b + STEP
-        for table, rows, total in (
-            (self.by_sure, self.in_a, total_a),
-            (self.by_past, self.in_b, total_b),
+        self.mark = self.last * np.int32(3001)
+        self.v1, self.v2 = self.guess1.take(self.at1), self.guess2.take(self.at2)
+        self.p1, self.p2 = self.v1 >> 2, self.v2 >> 2
+        self.in_a = self.row_a + ((self.v2 & 3) << 3 | (self.v1 & 3) << 1 | (self.p1 == self.p2))
+        self.in_b = self.row_b + self.past
+        self.a, self.b = self.by_sure.take(self.in_a), self.by_past.take(self.in_b)
+        self.more = self.a - self.b
+        mixed = (self.more * self.weight + (self.b << 4) >> 4) & HALVES
+        scaled = mixed * (SYMBOLS - 3) >> 16
+        return (scaled & SYMBOLS - 1) + 1, (scaled >> 32) + 2
+
+    def update(self, ids: np.ndarray, held1: np.ndarray, held2: np.ndarray) -> None:
+        symbol = np.where(held2, 0, np.where(held1, 1, 2))
+        for table, rows, had, (rate, mask, steps) in (
+            (self.by_sure, self.in_a, self.a, self.moves_a),
+            (self.by_past, self.in_b, self.b, self.moves_b),
         ):
-            full = rows[total > LIMIT]
-            for i in range(3 if len(full) else 0):
-                table[full + i] = (table[full + i] >> 1) + 1
-        held1, held2 = self.p1 == ids, self.p2 == ids
-        self.next1[self.at1] = np.where(held1 | (self.c1 > 1), self.p1, ids)
-        self.next2[self.at2] = np.where(held2 | (self.c2 > 1), self.p2, ids)
-        self.sure1[self.at1] = np.where(held1, np.minimum(self.c1 + 1, SURE), self.c1 >> 1)
-        self.sure2[self.at2] = np.where(held2, np.minimum(self.c2 + 1, SURE), self.c2 >> 1)
+            table[rows] = had - (had >> rate & mask) + steps.take(symbol)
+        self.seen += 1
+        if self.seen % OFTEN == 0:
+            upto1, upto2 = self.more << 32 >> 32, self.more >> 32
+            gain = np.where(held2, upto1, np.where(held1, upto2 - upto1, -upto2))
+            moved = self.weight + np.where(gain > 0, 1, -1)
+            self.weight = np.minimum(np.maximum(moved, 1), WEIGHT - 1)
+        for table, rows, had, held in (
+            (self.guess1, self.at1, self.v1, held1),
+            (self.guess2, self.at2, self.v2, held2),
+        ):
+            doubted = np.where(had & 2, had & ~SURE | 1, ids << 2)
+            table[rows] = np.where(held, np.minimum(had + 1, had | SURE), doubted)
         self.past = (self.past << 2 & 15) + symbol
         self.last = ids
 
 
+def _id_tables(order0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the frequencies below each id, and its own; the whole range for ``NO_ID``."""
+    below = np.concatenate(([0], np.cumsum(order0)[:-1], [0])).astype(np.int64)
+    return below, np.concatenate((order0, [IDS])).astype(np.int64)
+
+
 def block_lengths(n: int, block: int) -> list[int]:
     """Lengths of blocks, at most ``block``, that differ by one at most, longer ones first."""
     count = max(1, -(-n // block))
@@ -110,119 +140,90 @@ def encode(ids: np.ndarray, lengths: list[int], order0: np.ndarray) -> list[byte
     if len(ids) and (ids.min() < 0 or ids.max() >= 1 << 16):
         raise ValueError("ids must be from 0 to 65535")
     lanes, steps = len(lengths), max(lengths)
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
-    out = np.zeros((lanes, steps * WORDS_PER_TOKEN + 8), np.uint16)
-    filled = np.zeros(lanes, np.int64)
-    low, width = np.zeros(lanes, np.uint64), np.full(lanes, ALL)
-    below0 = np.concatenate(([0], np.cumsum(order0)[:-1])).astype(np.uint64)
-    own0, total0 = order0.astype(np.uint64), np.uint64(max(1, order0.sum()))
+    ends = np.cumsum(lengths)
+    places = np.minimum((ends - lengths) + np.arange(steps)[:, None], ends - 1)
+    rows = ids.take(places)
+    # A step writes two words at most; the last two steps are what is left in the end.
+    words = np.zeros((steps + 2, 2, lanes), np.uint32)
+    written = np.zeros((steps + 2, 2, lanes), bool)
+    low, width = np.zeros(lanes, np.int64), np.full(lanes, WIDEST)
+    below0, own0 = _id_tables(order0)
     models = _Models(lanes)
-    full = sum(n == steps for n in lengths)
-    ended: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def put(which: np.ndarray, words: np.ndarray) -> None:
-        place = filled[which]
-        out[which, place] = words
-        filled[which] = place + 1
-
-    for t in range(steps):
-        if t == steps - 1 and full < lanes:
-            ended.append((low[full:], filled[full:]))
-            low, width, filled = low[:full].copy(), width[:full].copy(), filled[:full].copy()
-            models.shrink(full)
-            lanes = full
-        now = ids.take(starts[:lanes] + t)
-        f0, f1, f2 = models.predict()
-        symbol = models.symbol(now)
-        first, second = symbol == 0, symbol == 1
-        below = np.where(first, 0, np.where(second, f0, f0 + f1))
-        own = np.where(first, f0, np.where(second, f1, f2))
-        unit = width // (f0 + f1 + f2).astype(np.uint64)
-        low = low + unit * below.astype(np.uint64)
-        width = unit * own.astype(np.uint64)
-        new = np.flatnonzero(symbol == 2)
-        if len(new):
-            unit = width[new] // total0
-            low[new] += unit * below0.take(now[new])
-            width[new] = unit * own0.take(now[new])
-        models.update(now, symbol)
-        _settle(low, width, put)
-    for l, f in ended:
-        low, filled = np.concatenate([low, l]), np.concatenate([filled, f])
-    for shift in (48, 32, 16, 0):
-        out[np.arange(len(filled)), filled] = (low >> np.uint64(shift)).astype(np.uint16)
-        filled += 1
-    return [out[i, : filled[i]].astype("<u2").tobytes() for i in range(len(filled))]
-
-
-def _settle(low: np.ndarray, width: np.ndarray, emit) -> None:
-    """Shift out the 16 bits that are certain, as long as there are any."""
-    which = np.flatnonzero(((low ^ (low + width)) < TOP) | (width < BOTTOM))
-    while len(which):
-        some, wide = low[which], width[which]
-        open_ones = (some ^ (some + wide)) >= TOP
-        if open_ones.any():
-            cut = (np.uint64(0) - some) & (BOTTOM - np.uint64(1))
-            wide = np.where(open_ones, cut, wide)
-        emit(which, (some >> W48).astype(np.uint16))
-        some, wide = some << W16, wide << W16
-        low[which], width[which] = some, wide
-        which = which[((some ^ (some + wide)) < TOP) | (wide < BOTTOM)]
+    for now, word, has_word in zip(rows, words, written, strict=False):
+        upto1, upto2 = models.predict()
+        held1, held2 = models.p1 == now, models.p2 == now
+        lower = np.where(held2, 0, np.where(held1, upto1, upto2))
+        own = np.where(held2, upto1, np.where(held1, upto2, SYMBOLS)) - lower
+        key = np.where(held1 | held2, NO_ID, now)
+        unit = width >> BITS
+        low += unit * ((lower << ID_BITS) + own * below0.take(key))
+        width = unit * (own * own0.take(key))
+        models.update(now, held1, held2)
+        # At most two words are certain; the second one seldom is.
+        word[0] = low >> 40
+        out = np.less(width, FLOOR, out=has_word[0])
+        low = np.where(out, (low & FLOOR - 1) << 16, low)
+        width <<= out.astype(np.int64) << 4
+        if width.min() < FLOOR:
+            which = np.flatnonzero(width < FLOOR)
+            word[1, which], has_word[1, which] = low[which] >> 40, True
+            low[which] = (low[which] & FLOOR - 1) << 16
+            width[which] <<= 16
+    words[steps:] = np.stack([low >> 40, low >> 24 & ONE, low >> 8 & ONE, low << 8 & ONE]).reshape(2, 2, lanes)
+    written[steps:] = True
+    words, written = words.reshape(-1, lanes).T, written.reshape(-1, lanes)
+    flat = words[written.T]
+    carry = np.flatnonzero(flat >> 16)
+    while len(carry):
+        flat[carry] &= ONE
+        flat[carry - 1] += 1
+        carry = carry[flat[carry - 1] >> 16 > 0] - 1
+    ends = np.cumsum(written.sum(0))
+    return [part.tobytes() for part in np.split(flat.astype("<u2"), ends[:-1])]
 
 
 def decode(blocks: list[bytes], lengths: list[int], order0: np.ndarray) -> np.ndarray:
     """The ids that ``encode`` was given."""
     lanes, steps = len(lengths), max(lengths)
     room = max(len(b) for b in blocks) // 2 + 8
-    words = np.zeros((lanes, room), np.uint16)
+    words = np.zeros((lanes, room), np.uint64)
     for i, b in enumerate(blocks):
         part = np.frombuffer(b, "<u2")
         words[i, : len(part)] = part
-    code = np.zeros(lanes, np.uint64)
-    for i in range(4):
-        code = code << W16 | words[:, i]
-    read = np.full(lanes, 4, np.int64)
+    # What is left of the code, with eight bits more than the range has.
+    code = words[:, 0] << 48 | words[:, 1] << 32 | words[:, 2] << 16 | words[:, 3]
+    words = words.astype(np.uint16).reshape(-1)
+    at = np.arange(lanes) * room + 4
     out = np.zeros((steps, lanes), np.int32)
-    low, width = np.zeros(lanes, np.uint64), np.full(lanes, ALL)
-    upto0 = np.cumsum(order0).astype(np.int64)
-    below0 = np.concatenate(([0], upto0[:-1])).astype(np.uint64)
-    own0, total0 = order0.astype(np.uint64), np.uint64(max(1, order0.sum()))
-    slots = np.repeat(np.arange(1 << 16, dtype=np.int32), order0)
+    width = np.full(lanes, WIDEST)
+    below0, own0 = _id_tables(order0)
+    slots = np.repeat(np.arange(1 << 16, dtype=np.uint16), order0)
     models = _Models(lanes)
-    full = sum(n == steps for n in lengths)
-
-    def shift(which: np.ndarray, _) -> None:
-        place = read[which]
-        code[which] = code[which] << W16 | words[which, place]
-        read[which] = place + 1
-
     for t in range(steps):
-        if t == steps - 1 and full < lanes:
-            low, width = low[:full].copy(), width[:full].copy()
-            code, read = code[:full].copy(), read[:full].copy()
-            models.shrink(full)
-            lanes = full
-        f0, f1, f2 = models.predict()
-        unit = width // (f0 + f1 + f2).astype(np.uint64)
-        point = (code - low) // unit
-        f01 = f0 + f1
-        symbol = (point >= f0.astype(np.uint64)).astype(np.int32) + (point >= f01.astype(np.uint64))
-        first, second = symbol == 0, symbol == 1
-        below = np.where(first, 0, np.where(second, f0, f01))
-        own = np.where(first, f0, np.where(second, f1, f2))
-        low = low + unit * below.astype(np.uint64)
-        width = unit * own.astype(np.uint64)
-        now = np.where(first, models.p2, models.p1)
-        new = np.flatnonzero(symbol == 2)
-        if len(new):
-            unit = width[new] // total0
-            point = np.minimum((code[new] - low[new]) // unit, total0 - np.uint64(1))
-            found = slots.take(point.astype(np.int64))
-            now[new] = found
-            low[new] += unit * below0.take(found)
-            width[new] = unit * own0.take(found)
-        out[t, :lanes] = now
-        models.update(now, symbol)
-        _settle(low, width, shift)
+        upto1, upto2 = models.predict()
+        unit = width >> BITS
+        point = ((code >> np.uint64(8)) // unit.view(np.uint64)).view(np.int64)
+        point = np.minimum(point, (1 << BITS) - 1)
+        part = point >> ID_BITS
+        is_first, new = part < upto1, part >= upto2
+        lower = np.where(is_first, 0, np.where(new, upto2, upto1))
+        own = np.where(is_first, upto1, np.where(new, SYMBOLS, upto2)) - lower
+        found = slots.take(((point - (lower << ID_BITS)) / own).astype(np.int64))
+        now = np.where(new, found, np.where(is_first, models.p2, models.p1))
+        key = np.where(new, now, NO_ID)
+        below = unit * ((lower << ID_BITS) + own * below0.take(key))
+        code -= (below << 8).view(np.uint64)
+        width = unit * (own * own0.take(key))
+        out[t] = now
+        models.update(now, models.p1 == now, models.p2 == now)
+        more = width < FLOOR
+        code = np.where(more, code << np.uint64(16) | words.take(at), code)
+        at += more
+        width <<= more.astype(np.int64) << 4
+        if width.min() < FLOOR:
+            which = np.flatnonzero(width < FLOOR)
+            code[which] = code[which] << np.uint64(16) | words[at[which]]
+            at[which] += 1
+            width[which] <<= 16
     out = out.T
     return np.concatenate([out[i, :n] for i, n in enumerate(lengths)])
