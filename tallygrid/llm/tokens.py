@@ -3,7 +3,7 @@
 Documents are dealt into buckets of neighbouring ids, sorted, tokenised and written, a file per
 bucket. A file is a sequence of segments of about ``SEGMENT`` ids that end with a document:
 
-    magic "TGIDS001", then as unsigned 32-bit numbers: documents, ids, blocks, bytes of the
+    magic "TGIDS002", then as unsigned 32-bit numbers: documents, ids, blocks, bytes of the
     order-0 table; then for every document its id (signed 64 bits), whether it has one (8 bits)
     and its number of ids (32 bits); then for every block its ids, its bytes and the CRC-32 of
     its bytes (32 bits each); then the order-0 table (compressed) and its CRC-32; then the blocks.
@@ -12,8 +12,10 @@ Every block starts afresh and can be checked and decoded with the head of its se
 list of segments (file, place, documents, ids) is a Parquet table; it is the index of the files
 and says where each segment starts in the sequence of all ids.
 
-Words between blanks are tokenised once and remembered, up to a bounded number, which gives the
-same ids because the tokenizer never joins text across white space.
+Texts are cut at blanks, and a worker tokenises a word once and remembers it, up to a bounded
+number; the ids are the same because the tokenizer never joins text across white space. Words of
+letters, with or without marks behind them, skip its normaliser and its pattern, which would
+leave them as they are but for the case.
 
 Defined results for odd input: a null or empty text is a document with only the end id; null
 ids sort first; rows of one id are ordered by their text, repeated rows are documents of their
@@ -23,12 +25,15 @@ own; an empty table gives no files and an empty result; other columns are ignore
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,19 +43,34 @@ from tallygrid.llm.common import LOWEST, boundaries, bucket_of, partitions
 from tallygrid.llm.storage import Output, read_range, unique
 from tallygrid.staging import Staging
 
-MAGIC = b"TGIDS001"
+MAGIC = b"TGIDS002"
 VOCABULARY = "word_bpe_49k.json"
 END = 1
-BLOCK = 2048
+BLOCK = 1024
 SEGMENT = 1 << 22
-REMEMBERED, LONGEST = 400_000, 48  # words, and letters of a word, that are remembered
+REMEMBERED, REMEMBERED_BYTES = 1_000_000, 1 << 25  # words that a worker remembers, and their bytes
+#: Letters that the normaliser of the vocabulary changes by simple lower case at most.
+LATIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"
+PIECE = 1 << 24  # bytes of texts that are tokenised together, but always whole texts
 
 INDEX = "bucket int, segment int, path string, offset long, bytes long, docs long, ids long"
 ROWS = "bucket int, segment int, nth int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes without a printable one in the vocabulary."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - printable))}
+
+
+def gather(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Runs of values one after the other."""
+    upto = np.cumsum(size)
+    return values.take(np.arange(size.sum()) + np.repeat(begin - upto + size, size))
+
+
 class Tokens:
-    """Ids of texts as little-endian 16-bit numbers, by the tokenizers library."""
+    """Ids of texts as 16-bit numbers, by the tokenizers library."""
 
     def __init__(self, path: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,22 +83,94 @@ class Tokens:
         self._tokenizer = Tokenizer.from_file(path)
         if self._tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("the vocabulary has more than 65536 ids")
-        self._known: dict[str, bytes] = {"": b""}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, "<u2").tobytes() for x in found]
+        # Words with the places of their ids; the first one is empty.
+        self._known = pa.array([""], pa.string())
+        self._ids = np.zeros(0, np.uint16)
+        self._begin, self._size = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self._byte_letters = _byte_letters()
+        # Only a tokenizer that lowers the case and cuts at letters treats them alike.
+        self._short_cut = path.endswith(VOCABULARY)
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        return [x.ids for x in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _model(self, words: list[str]) -> list[list[int]]:
+        """Ids of words of lower case letters."""
+        model, letters, out = self._tokenizer.model, self._byte_letters, []
+        for word in words:
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(letters)
+            out.append([x.id for x in model.tokenize(word)])
+        return out
 
-    def ids(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        known = self._known
-        new = list(set(words).difference(known))
-        if not new:
-            return b"".join(map(known.__getitem__, words))
-        found = dict(zip(new, self._encode(new), strict=True))
-        if len(known) < REMEMBERED:
-            known.update((w, x) for w, x in found.items() if len(w) <= LONGEST)
-        return b"".join([known[w] if w in known else found[w] for w in words])
+    def _forget(self) -> None:
+        """Keep what was met first, as common words are."""
+        ends = np.cumsum(pc.binary_length(self._known).to_numpy(), dtype=np.int64)
+        n = min(REMEMBERED, max(1, int(np.searchsorted(ends, REMEMBERED_BYTES, "right"))))
+        if n < len(self._known):
+            self._known = pa.concat_arrays([self._known.slice(0, n)])
+            self._begin, self._size = self._begin[:n].copy(), self._size[:n].copy()
+            self._ids = self._ids[: self._begin[-1] + self._size[-1]].copy()
+
+    def _places(self, words: pa.Array, encode: Callable[[list[str]], list[list[int]]]) -> np.ndarray:
+        """Where words are among those known; ``encode`` gives the ids of new ones."""
+        new = words.filter(pc.invert(pc.is_in(words, value_set=self._known))).unique()
+        if len(new):
+            found = encode(new.to_pylist())
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(chain.from_iterable(found), np.uint16, size.sum())
+            self._begin = np.concatenate((self._begin, len(self._ids) + np.cumsum(size) - size))
+            self._size = np.concatenate((self._size, size))
+            self._ids = np.concatenate((self._ids, ids))
+            self._known = pa.concat_arrays([self._known, new])
+        return pc.index_in(words, value_set=self._known).to_numpy()
+
+    def _words(self, words: pa.Array) -> np.ndarray:
+        """Places of the two parts of words: letters, or all of an odd word, and the marks behind."""
+        place = np.zeros((len(words), 2), np.int64)
+        if not self._short_cut:
+            place[:, 0] = self._places(words, self._encode)
+            return place
+        heads = pc.utf8_rtrim(words, string.punctuation)
+        plain = pc.match_substring_regex(heads, LATIN)
+        odd = pc.invert(plain)
+        marked = pc.and_(plain, pc.not_equal(words, heads))
+        lengths = pc.subtract(pc.binary_length(words), pc.binary_length(heads)).filter(marked)
+        marks = [w[-n:] for w, n in zip(words.filter(marked).to_pylist(), lengths.to_pylist(), strict=True)]
+        for mask, part, some, encode in (
+            (plain, 0, pc.utf8_lower(heads.filter(plain)), self._model),
+            (odd, 0, words.filter(odd), self._encode),
+            (marked, 1, pa.array(marks, pa.string()), self._encode),
+        ):
+            place[mask.to_numpy(zero_copy_only=False), part] = self._places(some, encode)
+        return place
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts, and the number of ids of each."""
+        self._forget()
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+        coded = cut.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy()
+        place = self._words(coded.dictionary)
+        parts = self._size[place]
+        own = gather(self._ids, self._begin[place].ravel(), parts.ravel())
+        sizes = parts.sum(1)
+        counts = sizes.take(codes)
+        ids = gather(own, (np.cumsum(sizes) - sizes).take(codes), counts)
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        return ids, np.diff(upto[ends], prepend=0)
+
+
+def pieces(texts: pa.Array, size: int = PIECE) -> Iterator[pa.Array]:
+    """Consecutive parts of an array of about so many bytes, or one text."""
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        before = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, before + size, "right")))
+        yield texts.slice(at, end - at)
+        at = end
 
 
 _LOADED: dict[str | None, Tokens] = {}
@@ -161,7 +253,6 @@ def write_tokens(
     n = partitions(docs.sparkSession)
     rows = rows.withColumn("bucket", bucket_of(F.col("key"), boundaries(rows, "key", n)))
     ordered = rows.repartition(n, "bucket").sortWithinPartitions("bucket", "key", "text")
-    last = np.array([end], "<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens(vocabulary)
@@ -169,11 +260,12 @@ def write_tokens(
         path, segment, bucket = "", 0, None
         names: list[int | None] = []
         lengths: list[int] = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
+        last = np.array([end], np.uint16)
 
         def flush() -> dict:
             nonlocal segment
-            ids = np.frombuffer(b"".join(parts), "<u2").astype(np.int64)
+            ids = np.concatenate(parts)
             data = pack(names, lengths, ids)
             place = out.place
             out.write(data)
@@ -187,24 +279,31 @@ def write_tokens(
 
         held, index = 0, []
         for batch in batches:
-            ids, buckets, texts = batch.column(0), batch.column(1), batch.column(2)
-            for d, b, t in zip(ids.to_pylist(), buckets.to_pylist(), texts, strict=True):
-                if b != bucket:
-                    if parts:
+            texts, at = batch.column(2), 0
+            for piece in pieces(texts):
+                ids, counts = encoder.ids(piece)
+                here = batch.slice(at, len(piece))
+                at += len(piece)
+                upto = 0
+                for d, b, n in zip(
+                    here.column(0).to_pylist(), here.column(1).to_pylist(), counts.tolist(), strict=True
+                ):
+                    if b != bucket:
+                        if parts:
+                            index.append(flush())
+                        if out is not None:
+                            out.close()
+                        bucket, segment, held = b, 0, 0
+                        path = unique(folder, ".ids")
+                        out = Output(path)
+                    names.append(d)
+                    lengths.append(n + 1)
+                    parts += [ids[upto : upto + n], last]
+                    upto += n
+                    held += n + 1
+                    if held >= SEGMENT:
                         index.append(flush())
-                    if out is not None:
-                        out.close()
-                    bucket, segment, held = b, 0, 0
-                    path = unique(folder, ".ids")
-                    out = Output(path)
-                found = encoder.ids(t.as_py()) + last
-                names.append(d)
-                lengths.append(len(found) // 2)
-                parts.append(found)
-                held += len(found) // 2
-                if held >= SEGMENT:
-                    index.append(flush())
-                    held = 0
+                        held = 0
         if parts:
             index.append(flush())
         if out is not None:

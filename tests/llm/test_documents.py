@@ -210,6 +210,40 @@ def test_tokens_match_the_library(spark, docs, none):
     assert tokens.token_table(none, Staging(spark)).count() == 0
 
 
+def test_short_cuts_give_the_ids_of_the_library(monkeypatch):
+    import pyarrow as pa
+
+    texts = [
+        "", "\n", " \t\nTab\tword", "Σίσυφος ΟΔΟΣ ΟΔΟΣ.", "İstanbul İ. ı ſs ŉ ǅungla", "ªº ÀÉ×÷ß.",
+        "<|endoftext|>x <|startoftext|>! a<|endoftext|>", "étude é! ̸ ≠ a≠", "don't DON'T. it's's '",
+        "日本 語。 ﬁx 한국 하", "\x00a \x1f\xa0b　c", "9.5% a1! _x_ x_", "word" * 5000 + "... end",
+        "a. A. a.. A! b?! B",
+    ]
+    tokenizer = tokens.Tokens(None)
+    for held, size in ((1_000_000, 1 << 24), (3, 8), (0, 1)):
+        monkeypatch.setattr(tokens, "REMEMBERED", max(1, held))
+        got = []
+        for part in tokens.pieces(pa.array(texts), size):
+            ids, counts = tokenizer.ids(part)
+            got += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+        assert got == [tokenizer._encode([t])[0] for t in texts]
+        tokenizer._forget()
+        assert len(tokenizer._known) <= max(1, held)
+
+
+def test_coder_carries_and_repeats():
+    from tallygrid.llm import idcoder
+
+    random = np.random.default_rng(3)
+    for ids in (np.ones(4000, int), np.tile([5, 7, 9], 2000), random.zipf(1.3, 20000) % 50000, np.full(9, 65535)):
+        lengths = idcoder.block_lengths(len(ids), 512)
+        order0 = idcoder.frequencies(ids)
+        assert order0.sum() == idcoder.IDS
+        blocks = idcoder.encode(ids, lengths, order0)
+        assert (idcoder.decode(blocks, lengths, order0) == ids).all()
+    assert sum(map(len, idcoder.encode(np.ones(4000, int), [4000], idcoder.frequencies(np.ones(4000, int))))) < 400
+
+
 def test_damage_is_noticed():
     data = tokens.pack([3, None], [2, 1], np.array([5, 1, 1]))
     names, lengths, ids = tokens.unpack(data)
