@@ -1,7 +1,9 @@
 """Personal data: patterns propose, checksums confirm, nearby words adjust the score.
 
 Every kind has a pattern, a check, and words that speak for it. A span that fails its check is
-dropped and its text is not tried again. The score starts at that of the kind, rises if a
+dropped and its text is not tried again. An IBAN is cut at the length of its country, or, where that
+is not known, at the last blank that makes its check digits right, and its text is tried again from the
+next place that could start one; it is reported beside a base span that it meets. The score starts at that of the kind, rises if a
 checksum (Luhn, mod 97) confirms the span and if one of the words stands near it. Base kinds
 (email, ip, card, phone) are always reported with their score; the other kinds only from
 ``THRESHOLD`` up, so a number that looks like a social security number counts beside the words
@@ -33,9 +35,21 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+IBAN_REST = re.compile(r"(?:\x20?[A-Z0-9]){1,30}")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 ACCOUNT = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){11,14}(?![0-9])")
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+        32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 NOT_DIGIT = re.compile(r"[^0-9]")
 
 CONTEXT = {
@@ -104,8 +118,28 @@ def _phone(found: str) -> bool:
     return 8 <= len(_digits(found)) <= 15
 
 
-def _iban(found: str) -> bool:
-    return mod97(found.replace(" ", ""))
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping numbers with right check digits, as long as their country says."""
+    done = 0
+    for m in IBAN_START.finditer(text):
+        start = m.start()
+        rest = IBAN_REST.match(text, m.end()) if start >= done else None
+        if rest is None:
+            continue
+        found, length = text[start : rest.end()], IBAN_LENGTHS.get(m[0][:2])
+        size = sum(c != " " for c in found)
+        for end in range(len(found), 0, -1):
+            # A number ends before a blank or another mark, never within a word.
+            after = text[start + end : start + end + 1]
+            if found[end - 1] != " ":
+                if size < 15 or length and size < length:
+                    break
+                whole = not (after.isascii() and after.isalnum())
+                if whole and size == (length or size) and mod97(found[:end].replace(" ", "")):
+                    done = start + end
+                    yield start, done
+                    break
+                size -= 1
 
 
 def _account(found: str) -> bool:
@@ -127,8 +161,8 @@ def find(text: str) -> list[Span]:
         found += [("phone", a, b) for a, b in _matches(PHONE, text, _phone)]
     out = [(k, a, b, _score(text, k, a, b, k == "card"), True) for k, a, b in found]
     taken = sorted((a, b) for _, a, b in found)
+    out += [("iban", a, b, _score(text, "iban", a, b, True), False) for a, b in _ibans(text)]
     for kind, pattern, check in (
-        ("iban", IBAN, _iban),
         ("ssn", SSN, lambda _: True),
         ("account", ACCOUNT, _account),
     ):

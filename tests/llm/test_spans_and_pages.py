@@ -192,3 +192,40 @@ def test_coder_round_trip(n, high):
         lengths = idcoder.block_lengths(n, block)
         order0 = idcoder.frequencies(ids)
         assert (idcoder.decode(idcoder.encode(ids, lengths, order0), lengths, order0) == ids).all()
+
+
+# --- IBANs beside other text
+
+
+IBANS = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"]
+
+
+@pytest.mark.parametrize("iban", IBANS)
+@pytest.mark.parametrize("after", ["", ",", " BIC COBADEFFXXX", " 2024", " Please pay", " DE00 1", ". ABC"])
+def test_iban_ends_where_its_country_says(iban, after):
+    for before in ("IBAN ", "AB12 ", "bank of X "):
+        found = [(a, b) for k, a, b, *_ in pii.find(before + iban + after) if k == "iban"]
+        assert found == [(len(before), len(before) + len(iban))]
+
+
+def test_ibans_of_no_known_country_and_wrong_ones():
+    digits = next(f"{n:02}" for n in range(98) if pii.mod97(f"ZZ{n:02}12345678901234567"))
+    text = f"ZZ{digits} 1234 5678 9012 3456 7"
+    assert [s[1:3] for s in pii.find(text + " NEXT 1") if s[0] == "iban"] == [(0, len(text))]
+    assert not any(s[0] == "iban" for s in pii.find("DE89 3704 0044 0532 0130 01 NEXT"))
+    assert not any(s[0] == "iban" for s in pii.find("DE89370400440532013000X"))
+    two = " ".join(IBANS)
+    assert [two[a:b] for k, a, b, *_ in pii.find(two) if k == "iban"] == IBANS
+
+
+def test_iban_is_reported_beside_a_card_in_its_digits():
+    for account in range(1, 10_000):
+        body = f"37040044{account:010}"
+        check = next(f"{n:02}" for n in range(98) if pii.mod97(f"DE{n:02}{body}"))
+        if 2 <= int(check) and luhn(body):
+            text = f"pay DE{check} {body} now"
+            spans = pii.find(text)
+            if any(s[0] == "card" for s in spans):
+                break
+    assert ("iban", 4, 27) in [s[:3] for s in spans]
+    assert pii.redact(text) == "pay [iban] now"
