@@ -328,6 +328,31 @@ def test_quality_keeps_good_and_drops_bad(spark, none):
     assert quality.resample(none, labels, Staging(spark)).count() == 0
 
 
+def test_quality_drops_toxic_and_keeps_clean(spark):
+    rng = np.random.default_rng(10)
+    rows, labels = [], []
+    for i in range(1200):
+        kind = "toxic" if i % 6 == 0 else "bad" if i % 6 == 1 else "clean"
+        size = int(rng.choice([30, 100, 300]))
+        if kind == "bad":
+            words = [w + "!!" for w in rng.choice(["BUY", "NOW", "FREE"], size)]
+        else:
+            words = list(rng.choice([f"word{x}" for x in range(200)], size))
+        if kind == "toxic":
+            for at in rng.integers(0, size, 4):
+                words[at] = str(rng.choice(["idiot", "moron", "vermin"]))
+        rows.append(row(i, " ".join(words) + "."))
+        if i % 12 < 8:
+            labels.append((i, int(kind != "bad"), int(kind == "toxic")))
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    clean = sum(q == 1 and not t for _, q, t in labels) / len(labels)
+    assert clean < quality.good_share(table) < clean + 0.05
+    got = {r.doc_id for r in quality.kept(frame(spark, rows), table, Staging(spark)).collect()}
+    wanted, toxic = {i for i in range(1200) if i % 6 > 1}, set(range(0, 1200, 6))
+    assert len(got & wanted) > 0.98 * len(wanted) * min(1, len(got) / len(wanted))
+    assert len(got & toxic) < 0.3 * len(toxic)
+
+
 def test_log_ratio_is_that_of_the_models(spark):
     df = frame(spark, [row(1, "a b"), row(2, "c c d")])
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
