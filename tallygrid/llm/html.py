@@ -2,10 +2,12 @@
 
 A page is cut into blocks at the tags that start a new line. Each block is described by its
 number of words and its link density (words inside links over words), the same of the blocks
-before and after it, its place (inside the article, outside it, or 1 if the page marks none) and
-whether one of the elements around it is named like a menu, advert, form, notice or comment. A
+before and after it, its place (inside the article, outside it, or neither if the page marks none)
+and whether one of the elements around it is named like a menu, advert, form, notice or comment. A
 decision tree, grown from the small labelled table ``LABELLED``, says which blocks are text of
-the article. Scripts, styles and comments of the markup never become blocks.
+the article: place and name shift the decision, words and links make it. An article that is named
+like chrome marks no place. The name of a layout wrapper ("has-sidebar") does not reach an article
+inside it, unless the page has another one outside such wrappers. Scripts, styles and comments of the markup never become blocks.
 
 Defined results for odd input: a null or empty page has an empty text; unclosed tags end with
 the element around them; a "<" that starts no tag is text; null ids, repeated rows and pages
@@ -58,6 +60,11 @@ NAMED = {
     "subscription", "popup", "modal", "overlay", "widget", "login", "signup", "pagination", "pager",
     "toolbar", "skip", "copyright", "search", "complementary", "contentinfo", "dialog",
 }
+#: names that a wrapper of the whole page may have as well
+LAYOUT = {
+    "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead",
+    "banner", "toolbar", "widget", "search", "skip", "notice", "notices", "alert",
+}
 ARTICLE = {"article", "main"}
 
 #: words, link density, words and link density before, words and link density after, place
@@ -73,6 +80,11 @@ LABELLED = np.array(
         [4, 1.0, 70, 0.0, 80, 0.0, 1, 0, 1],
         [2, 0.0, 1, 1.0, 9, 0.0, 1, 0, 1],
         [200, 0.0, 5, 1.0, 8, 0.5, 1, 0, 1],
+        [3, 1.0, 60, 0.0, 4, 1.0, 1, 0, 0],
+        [4, 1.0, 3, 1.0, 5, 1.0, 1, 0, 0],
+        [1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0],
+        [5, 1.0, 4, 1.0, 60, 0.0, 1, 0, 0],
+        [9, 0.9, 8, 1.0, 0, 0.0, 1, 0, 0],
         [15, 0.0, 80, 0.0, 12, 0.1, 1, 1, 0],
         [40, 0.0, 60, 0.0, 30, 0.0, 1, 1, 0],
         [3, 1.0, 20, 0.0, 5, 0.0, 1, 1, 0],
@@ -83,9 +95,9 @@ LABELLED = np.array(
         [10, 0.0, 200, 0.0, 0, 0.0, 0, 1, 0],
         [80, 0.0, 200, 0.0, 40, 0.0, 0, 1, 0],
         [12, 0.0, 0, 0.0, 40, 0.0, 0, 0, 0],
-        [60, 0.0, 90, 0.0, 30, 0.0, 0, 0, 0],
+        [60, 0.0, 90, 0.0, 30, 0.0, 0, 0, 1],
         [2, 1.0, 3, 1.0, 80, 0.0, 0, 0, 0],
-        [150, 0.1, 4, 0.0, 100, 0.0, 0, 0, 0],
+        [150, 0.1, 4, 0.0, 100, 0.0, 0, 0, 1],
         [60, 0.0, 50, 0.0, 70, 0.0, 0.5, 0, 1],
         [110, 0.1, 3, 1.0, 60, 0.0, 0.5, 0, 1],
         [30, 0.2, 80, 0.0, 5, 1.0, 0.5, 0, 1],
@@ -154,31 +166,35 @@ class Block:
     linked: int
     inside: bool
     named: bool
+    wrapped: bool = False  # in an article inside a layout wrapper
 
     @property
     def density(self) -> float:
         return self.linked / self.words if self.words else 0.0
 
 
-def _named(tag: str, attributes: str, inside: bool) -> bool:
+def _named(tag: str, attributes: str, inside: bool) -> int:
+    """0: not named like chrome, 1: like a layout wrapper, 2: like chrome of its own."""
     if tag in AROUND or (tag == "header" and not inside):
-        return True
+        return 2
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return 0
     if HIDDEN.search(attributes):
-        return True
+        return 2
+    level = 0
     for found in NAMES.findall(attributes):
         names = "".join(found).lower()
         # An article may be named for what stands beside it, so only whole names count there.
-        if not NAMED.isdisjoint(names.split() if tag == "article" else PART.findall(names)):
-            return True
-    return False
+        found = NAMED.intersection(names.split() if tag == "article" else PART.findall(names))
+        if found:
+            level = max(level, 1 if found <= LAYOUT and tag in ("div", "section") else 2)
+    return level
 
 
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
-    holders: list[tuple[str, bool, bool]] = []  # tag, inside the article, named like chrome
-    own = False  # whether the element that started the block is named like chrome
+    holders: list[tuple[str, bool, int, bool]] = []  # tag, inside the article, name, wrapped
+    own = 0  # whether the element that started the block is named like chrome
     parts: list[tuple[str, bool]] = []
     link = False
 
@@ -189,10 +205,10 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = sum(len(t.split()) for t, in_link in parts if in_link)
                 words = len(text.split())
-                inside, named = holders[-1][1:] if holders else (False, False)
-                out.append(Block(text, words, min(linked, words), inside, named or own))
+                inside, named, wrapped = holders[-1][1:] if holders else (False, 0, False)
+                out.append(Block(text, words, min(linked, words), inside, bool(named or own), wrapped))
             parts.clear()
-        own = False
+        own = 0
 
     at, end = 0, len(page)
     while at < end:
@@ -223,7 +239,7 @@ def blocks(page: str) -> list[Block]:
                 at = stop.end() if stop else end
         elif tag in STARTS:
             close()
-            own = not ends and _named(tag, attributes, bool(holders) and holders[-1][1])
+            own = 0 if ends else _named(tag, attributes, bool(holders) and holders[-1][1])
         elif tag in HOLDERS:
             close()
             link = False
@@ -233,16 +249,21 @@ def blocks(page: str) -> list[Block]:
                         del holders[i:]
                         break
             elif not attributes.endswith("/"):
-                inside, named = holders[-1][1:] if holders else (False, False)
-                named = named or _named(tag, attributes, inside)
-                holders.append((tag, inside or tag in ARTICLE, named))
+                inside, named, wrapped = holders[-1][1:] if holders else (False, 0, False)
+                mine = _named(tag, attributes, inside)
+                if tag in ARTICLE and not inside and named == 1 and not mine:
+                    named, wrapped = 0, True
+                holders.append((tag, inside or tag in ARTICLE, max(named, mine), wrapped))
     close()
     return out
 
 
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
-    marked = any(b.inside for b in found)
+    if any(b.inside and not b.named and not b.wrapped for b in found):
+        for b in found:
+            b.named = b.named or b.wrapped
+    marked = any(b.inside and not b.named for b in found)
     tree, none = article_tree(), Block("", 0, 0, False, False)
     kept = []
     for i, b in enumerate(found):

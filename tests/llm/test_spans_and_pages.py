@@ -229,3 +229,18 @@ def test_iban_is_reported_beside_a_card_in_its_digits():
                 break
     assert ("iban", 4, 27) in [s[:3] for s in spans]
     assert pii.redact(text) == "pay [iban] now"
+
+
+# --- words and links decide, place and names do not
+
+
+def test_words_and_links_decide_beside_place_and_names():
+    body = " ".join(["word"] * 60)
+    links = "<ul><li><a>Read this too</a></li><li><a>Then one more</a></li><li><a>And the last</a></li></ul>"
+    two, want = f"<p>{body}</p><p>{body}</p>", f"{body}\n{body}"
+    assert html.main_text(f"<article>{two}{links}</article>") == want
+    assert html.main_text(f"<div>{two}</div><article class=comment><p>I disagree.</p></article>") == want
+    assert html.main_text(f"<article><p>{body}</p></article><div><p>{body}</p></div>") == want
+    assert html.main_text(f'<div class="has-sidebar"><article>{two}</article></div>') == want
+    teaser = f'<div class="sidebar"><article><p>{body} more</p></article></div>'
+    assert html.main_text(f"<article>{two}</article>{teaser}") == want
