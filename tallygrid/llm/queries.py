@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallygrid.llm import (
+    bpe,
     decontamination,
     html,
     merkle,
     mixing,
     pii,
     quality,
+    runs,
     secrets,
     simhash,
+    spelling,
     tokens,
     warc,
 )
@@ -63,6 +66,18 @@ def op10_pivotal_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixing_table(table(spark, folder, "documents"), Staging(spark))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_table(table(spark, folder, "documents"), Staging(spark))
+
+
+def op12_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.bpe_table(table(spark, folder, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.runs_table(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +91,9 @@ QUERIES = {
         op8_merkle_fingerprints,
         op9_token_files,
         op10_pivotal_mixing,
+        op11_spelling_variants,
+        op12_bpe_codec,
+        op13_periodic_runs,
     )
 }
 
