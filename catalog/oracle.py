@@ -123,6 +123,36 @@ def _time_cells(source: str, line: str) -> str:
     FROM (SELECT species, {line}, {_cycle('year')} AS t, {sums} FROM {source} GROUP BY ALL)"""
 
 
+def _family_steps() -> str:
+    """Fits of the families, a row per step: zeros and means in turn with a step of the size."""
+    mean = "means[i]"
+    chance = f"CASE WHEN has_size THEN pow(exp(lambda_) / (exp(lambda_) + {mean}), exp(lambda_)) ELSE exp(-{mean}) END"
+    return f"""WITH RECURSIVE walk AS (
+      SELECT *, CASE WHEN has_zeros THEN list_sum(list_transform(cells, lambda x: x.z))
+          / list_sum(list_transform(cells, lambda x: x.n)) / 2 ELSE 0::DOUBLE END AS zeros,
+        0::DOUBLE AS lambda_, list_transform(cells, lambda x: x.c / x.n) AS means, 1::DOUBLE AS moved, 0 AS step
+      FROM family_series
+      UNION ALL
+      SELECT species, frequency, family, tails, cells, has_zeros, has_size, zeros1, lambda1, means1,
+        greatest(abs(zeros1 - zeros), abs(lambda1 - lambda_), list_max(list_transform(means1, lambda x, i:
+          CASE WHEN means[i] > 0 THEN abs(x / means[i] - 1) ELSE abs(x - means[i]) END))), step + 1
+      FROM (SELECT *, CASE WHEN NOT has_size THEN lambda_ ELSE greatest(-13.815510557964274, least(13.815510557964274,
+          lambda_ + greatest(-1, least(1, CASE WHEN h < 0 THEN -g / h ELSE sign(g) END)))) END AS lambda1
+      FROM (SELECT *, k * d1 AS g, k * d1 + k * k * d2 AS h
+      FROM (SELECT *,
+          list_sum(list_transform(tails, lambda x, j: x / (k + j - 1)))
+            + list_sum(list_transform(means1, lambda x, i: seen[i] * ln(k / (k + x)))) AS d1,
+          list_sum(list_transform(means1, lambda x, i: seen[i] * (1 / k - 1 / (k + x))))
+            - list_sum(list_transform(tails, lambda x, j: x / ((k + j - 1) * (k + j - 1)))) AS d2
+      FROM (SELECT *, exp(lambda_) AS k, list_transform(cells, lambda x, i: x.c / seen[i]) AS means1,
+          list_sum(extra) / list_sum(list_transform(cells, lambda x: x.n)) AS zeros1
+      FROM (SELECT *, list_transform(cells, lambda x, i: x.n - extra[i]) AS seen
+      FROM (SELECT *, list_transform(cells, lambda x, i: CASE WHEN has_zeros
+          THEN x.z * zeros / (zeros + (1 - zeros) * ({chance})) ELSE 0::DOUBLE END) AS extra
+      FROM walk WHERE moved >= 1e-10 AND step < 500))))))
+    ) SELECT * FROM walk"""
+
+
 def tables(
     species: str = "p_brand",
     stratum: str = "r_name",
@@ -211,6 +241,29 @@ def tables(
     t["cells"] = _time_cells("totals", "stratum")
     t["grid"] = _grid("cells", "stratum")
     t["effects"] = _fill("grid", "species, frequency, stratum")
+    t["numbered"] = """SELECT species, ['poisson', 'nbinomial', 'zeroinflatedpoisson1', 'zeroinflatednbinomial1']
+        [TRY_CAST(regexp_extract(species, '([0-9]+)$', 1) AS INTEGER) % 4 + 1] AS family FROM analysed"""
+    t["above"] = """SELECT species, list(n ORDER BY j) AS tails FROM (
+      SELECT species, j, count(*)::DOUBLE AS n FROM (
+        SELECT species, unnest(range(count)) AS j FROM relevant WHERE count > 0) GROUP BY species, j)
+      GROUP BY species"""
+    t["family_series"] = """SELECT species, frequency, family, tails, cells,
+        contains(family, 'zero') AS has_zeros, contains(family, 'nbinom') AS has_size
+      FROM (SELECT species, frequency, list({'stratum': stratum, 't': t, 'n': n::DOUBLE, 'z': (n - n_pos)::DOUBLE,
+              'c': c::DOUBLE} ORDER BY stratum, t) AS cells FROM grid WHERE n > 0 GROUP BY species, frequency)
+      JOIN above USING (species) JOIN numbered USING (species)"""
+    t["family_steps"] = _family_steps()
+    t["family_fit"] = """SELECT * FROM family_steps
+      QUALIFY row_number() OVER (PARTITION BY species, frequency ORDER BY step DESC) = 1"""
+    t["family_cells"] = """SELECT *, m * mu * damped AS info, z * w * (1 - w) * mu * mu * damped * damped AS lost
+      FROM (SELECT *, CASE WHEN has_size THEN k / (k + mu) ELSE 1 END AS damped
+      FROM (SELECT *, CASE WHEN c > 0 THEN raw ELSE 0.5::DOUBLE / m END AS mu
+      FROM (SELECT *, n - z * w AS m
+      FROM (SELECT *, CASE WHEN has_zeros THEN zeros / (zeros + (1 - zeros) * CASE WHEN has_size
+          THEN pow(k / (k + raw), k) ELSE exp(-raw) END) ELSE 0 END AS w
+      FROM (SELECT species, frequency, family, zeros, exp(lambda_) AS k, has_size, has_zeros,
+          CASE WHEN moved < 1e-10 THEN 'converged' ELSE 'not converged' END AS status,
+          unnest(means) AS raw, unnest(cells, recursive := true) FROM family_fit)))))"""
     t["estimates"] = f"""SELECT *, {_limits()} FROM (
       SELECT species, frequency, t, label, sum(weight * b) AS estimate, sum(weight * weight * var) AS variance
       FROM effects JOIN weights USING (species, stratum) GROUP BY species, frequency, t, label)"""
@@ -526,6 +579,12 @@ def oracle() -> dict[str, str]:
         FROM n GROUP BY stratum) USING (stratum)""".replace("WITH n AS", "SELECT * FROM (WITH n AS", 1) + ")")
     # effects and contrasts
     sql["stratum_effects"] = s(f"SELECT species, frequency, stratum, t, label, n, c, imputed, {_six('b', 'var')} FROM effects")
+    sql["family_effects"] = s(f"""SELECT species, frequency, stratum, t, label, family, status, {_six('b', 'var')}
+      FROM (SELECT species, frequency, stratum, t, family, status, ln(mu) AS b,
+        1 / CASE WHEN info > lost THEN info - lost ELSE info END AS var FROM family_cells)
+      JOIN (SELECT species, frequency, stratum, t, label FROM grid) USING (species, frequency, stratum, t)""")
+    sql["family_fits"] = s(f"""SELECT DISTINCT species, frequency, family, status, {_six('zeros')},
+        CASE WHEN has_size THEN round(k, 6) END AS size FROM family_cells""")
     extra = {"square_cells": _time_cells("totals", "square"), "square_grid": _grid("square_cells", "square")}
     base = s("SELECT * FROM totals")
     head = base[: base.rindex("\nSELECT * FROM totals")]

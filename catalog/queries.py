@@ -16,6 +16,7 @@ from tallygrid.operators import (
     dimensions,
     effects,
     effort,
+    families,
     intervals,
     lineage,
     relevance,
@@ -358,6 +359,32 @@ def gap_fill(spark, folder):
     return rounded(filled, keys, "b", "var")
 
 
+def _by_number(species: DataFrame) -> DataFrame:
+    """The four families in turn, by the number at the end of a name."""
+    number = F.regexp_extract("species", "([0-9]+)$", 1).try_cast("int") % 4
+    family = F.element_at(F.array(*map(F.lit, families.FAMILIES)), number + 1)
+    return species.select("species", family.alias("family"))
+
+
+def _family_effects(sv: Survey) -> DataFrame:
+    return sv.stage(
+        "family_effects_by_number",
+        lambda: families.family_effects(sv.grid, sv.tails, _by_number(sv.analysed_species)),
+    )
+
+
+def family_effects(spark, folder):
+    found = _family_effects(survey(spark, folder)).filter("n > 0")
+    keys = ["species", "frequency", "stratum", "t", "label", "family", "status"]
+    return rounded(found, keys, "b", "var")
+
+
+def family_fits(spark, folder):
+    fits = _family_effects(survey(spark, folder)).filter("n > 0")
+    fits = fits.select("species", "frequency", "family", "status", "zeros", "size").distinct()
+    return rounded(fits, ["species", "frequency", "family", "status"], "zeros", "size")
+
+
 def estimate(spark, folder):
     return _contrast(survey(spark, folder).estimates, "species", "frequency", "t", "label")
 
@@ -592,6 +619,8 @@ QUERIES: dict[str, Query] = {
         potential_squares,
         stratum_effects,
         gap_fill,
+        family_effects,
+        family_fits,
         estimate,
         pairwise_index,
         moving_trend,

@@ -25,6 +25,7 @@ from tallygrid.operators import (
     dimensions,
     effects,
     effort,
+    families,
     intervals,
     lineage,
     relevance,
@@ -59,6 +60,8 @@ class SurveyDesign:
     threshold: float = math.log(0.75)
     year_windows: Sequence[int] = contrasts.YEAR_WINDOWS
     cycle_windows: Sequence[int] = contrasts.CYCLE_WINDOWS
+    # None: Poisson for all; "given": the family of the source; "chosen": what the counts show
+    family: str | None = None
     overdispersion: bool = False
     exact_lines: bool = False
     lang: str = "en"
@@ -249,12 +252,34 @@ class Survey:
     def dispersion(self) -> DataFrame:
         return effects.dispersion(self.grid)
 
+    @cached_property
+    def tails(self) -> DataFrame:
+        """How many relevant counts of a species exceed each value."""
+        return self.stage("tails", lambda: families.count_tails(self.counts, self.relevant))
+
+    @cached_property
+    def families(self) -> DataFrame:
+        """The family of every analysed species: the one that is given, or what its counts show."""
+        if self.design.family == "chosen":
+            return effects.choose_family(self.dispersion).select("species", "family")
+        return dimensions.with_family(self.analysed_species, self.source.families())
+
+    @cached_property
+    def family_effects(self) -> DataFrame:
+        """Effects by the families, before time steps without visits are filled."""
+        return self.stage(
+            "family_effects", lambda: families.family_effects(self.grid, self.tails, self.families)
+        )
+
     @cached_property
     def effects(self) -> DataFrame:
         """Species x strata x time steps with their weights, stored once for all contrasts."""
 
         def build() -> DataFrame:
-            table = effects.stratum_effects(self.grid)
+            if self.design.family:
+                table = effects.fill_gaps(self.family_effects, effects.LINE, "t", "b", "var")
+            else:
+                table = effects.stratum_effects(self.grid)
             if self.design.overdispersion:
                 table = effects.inflate_variance(table, self.dispersion)
             return effects.weighted(table, self.weights)
