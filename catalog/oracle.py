@@ -300,6 +300,60 @@ def tables(
         swx / sw AS mean_t, CASE WHEN det > 0 THEN sw / det ELSE 0 END AS var_beta
       FROM (SELECT *, CASE WHEN det > 0 THEN (sw * swxy - swx * swy) / det ELSE 0 END AS beta
             FROM (SELECT *, sw * swxx - swx * swx AS det FROM line_sums))"""
+    t["line_steps"] = """WITH RECURSIVE walk AS (
+      SELECT species, frequency, stratum, any_value(alpha) AS alpha, any_value(beta) AS beta,
+        list({'t': t, 'n': n, 'c': c}) AS cells, 1::DOUBLE AS moved, 0 AS step
+      FROM lines JOIN effects USING (species, frequency, stratum) WHERE n > 0 GROUP BY species, frequency, stratum
+      UNION ALL
+      SELECT species, frequency, stratum, alpha + da, beta + db, cells, greatest(abs(da), abs(db)), step + 1
+      FROM (SELECT *, (wxx * r - wx * rx) / (w * wxx - wx * wx) AS da, (w * rx - wx * r) / (w * wxx - wx * wx) AS db
+      FROM (SELECT *, list_sum(mu) AS w, list_sum(list_transform(mu, lambda x, i: x * cells[i].t)) AS wx,
+          list_sum(list_transform(mu, lambda x, i: x * cells[i].t * cells[i].t)) AS wxx,
+          list_sum(list_transform(mu, lambda x, i: cells[i].c - x)) AS r,
+          list_sum(list_transform(mu, lambda x, i: (cells[i].c - x) * cells[i].t)) AS rx
+      FROM (SELECT *, list_transform(cells, lambda x: x.n * exp(alpha + beta * x.t)) AS mu
+      FROM walk WHERE moved >= 1e-9 AND step < 50 AND len(cells) > 1)))
+    ) SELECT * FROM walk"""
+    t["best_lines"] = """SELECT species, frequency, stratum, alpha, beta, moved < 1e-9 OR len(cells) < 2 AS converged,
+        CASE WHEN len(cells) < 2 THEN 0 ELSE w / (w * wxx - wx * wx) END AS var_beta, wx / w AS mean_t, w AS sw
+      FROM (SELECT *, list_sum(list_transform(cells, lambda x: x.n * exp(alpha + beta * x.t))) AS w,
+          list_sum(list_transform(cells, lambda x: x.t * x.n * exp(alpha + beta * x.t))) AS wx,
+          list_sum(list_transform(cells, lambda x: x.t * x.t * x.n * exp(alpha + beta * x.t))) AS wxx
+        FROM line_steps QUALIFY row_number() OVER (PARTITION BY species, frequency, stratum ORDER BY step DESC) = 1)"""
+    t["seen_steps"] = """SELECT species, frequency, stratum, t, b, var,
+        lead(t) OVER w AS t1, lead(b) OVER w AS b1, lead(var) OVER w AS var1
+      FROM effects WHERE NOT imputed WINDOW w AS (PARTITION BY species, frequency, stratum ORDER BY t)"""
+    t["walk_steps"] = """SELECT species, frequency,
+        greatest(coalesce(sum((b1 - b) * (b1 - b) - var - var1) / sum(t1 - t), 0), 1e-4::DOUBLE) AS tau2
+      FROM seen_steps GROUP BY species, frequency"""
+    t["walk_input"] = """SELECT species, frequency, stratum, t, label, n, c, imputed, tau2,
+        CASE WHEN imputed THEN 0::DOUBLE ELSE 1 / var END AS o, CASE WHEN imputed THEN 0::DOUBLE ELSE b END AS y,
+        min(t) OVER (PARTITION BY species, frequency, stratum) AS lo,
+        max(t) OVER (PARTITION BY species, frequency, stratum) AS hi
+      FROM effects JOIN walk_steps USING (species, frequency)"""
+    for name, side, start in (("walk_ahead", 1, "lo"), ("walk_behind", -1, "hi")):
+        t[name] = f"""WITH RECURSIVE way AS (
+          SELECT species, frequency, stratum, t, o AS p, y AS m FROM walk_input WHERE t = {start}
+          UNION ALL
+          SELECT species, frequency, stratum, t, handed + o,
+            CASE WHEN handed + o > 0 THEN (handed * m + o * y) / (handed + o) ELSE 0 END
+          FROM (SELECT i.*, w.m, w.p / (1 + w.p * tau2) AS handed FROM way w JOIN walk_input i
+            ON i.species = w.species AND i.frequency = w.frequency AND i.stratum = w.stratum AND i.t = w.t + {side})
+        ) SELECT * FROM way"""
+    t["walk"] = """SELECT *, CASE WHEN t > lo THEN tau2 / ((p_before * tau2 + 1) * (q * tau2 + 1) - 1)
+          / lag(var) OVER (PARTITION BY species, frequency, stratum ORDER BY t) END AS gain
+      FROM (SELECT *, (p * m + handed * coalesce(m_after, 0)) / (p + handed) AS b, 1 / (p + handed) AS var
+      FROM (SELECT i.* EXCLUDE (o, y, hi), a.p, a.m, z.p AS q,
+          lag(a.p) OVER w AS p_before, lead(z.m) OVER w AS m_after,
+          coalesce(lead(z.p) OVER w / (1 + lead(z.p) OVER w * tau2), 0) AS handed
+        FROM walk_input i JOIN walk_ahead a USING (species, frequency, stratum, t)
+        JOIN walk_behind z USING (species, frequency, stratum, t)
+        WINDOW w AS (PARTITION BY species, frequency, stratum ORDER BY t)))"""
+    t["walk_covariances"] = """SELECT x.species, x.frequency, x.stratum, x.t AS s, y.t,
+        CASE WHEN x.t <= y.t THEN x.var * exp(y.g - x.g) ELSE y.var * exp(x.g - y.g) END AS cov
+      FROM (SELECT *, sum(ln(coalesce(gain, 1))) OVER (PARTITION BY species, frequency, stratum ORDER BY t) AS g FROM walk) x
+      JOIN (SELECT *, sum(ln(coalesce(gain, 1))) OVER (PARTITION BY species, frequency, stratum ORDER BY t) AS g FROM walk) y
+        ON x.species = y.species AND x.frequency = y.frequency AND x.stratum = y.stratum"""
     t["linear"] = f"""SELECT *, {_limits()} FROM (
       SELECT species, frequency, sum(weight * beta) AS estimate, sum(weight * weight * var_beta) AS variance
       FROM lines JOIN weights USING (species, stratum) GROUP BY species, frequency)"""
@@ -311,7 +365,7 @@ def tables(
     t["criteria"] = """SELECT species, frequency, 2.0::DOUBLE * count(*) AS ic_non_linear,
         4.0::DOUBLE * count(DISTINCT stratum) + 2 * sum(
           CASE WHEN c > 0 THEN c * ln(c / mu) ELSE 0 END - (c - mu)) AS ic_linear
-      FROM (SELECT e.*, n * exp(alpha + beta * t) AS mu FROM effects e JOIN lines l
+      FROM (SELECT e.*, n * exp(alpha + beta * t) AS mu FROM effects e JOIN best_lines l
             USING (species, frequency, stratum) WHERE NOT imputed)
       GROUP BY species, frequency"""
     t["verdicts"] = """SELECT *, CASE WHEN difference <= -2 THEN 'non-linear'
@@ -456,26 +510,6 @@ SQUARE_LINES = f"""SELECT species, frequency, square, t, label, n, c, imputed, {
 FROM ({_fill('square_grid', 'species, frequency, square')})"""
 
 
-def _exact_lines(steps: int = 8) -> str:
-    """Fisher scoring for the lines, written out step by step."""
-    parts = ["fit0 AS MATERIALIZED (SELECT species, frequency, stratum, alpha, beta FROM lines)"]
-    for i in range(1, steps + 2):
-        parts.append(f"""sums{i} AS MATERIALIZED (
-  SELECT f.species, f.frequency, f.stratum, any_value(alpha) AS alpha, any_value(beta) AS beta,
-    sum(mu) AS w, sum(mu * t) AS wx, sum(mu * t * t) AS wxx, sum(c - mu) AS r, sum((c - mu) * t) AS rx
-  FROM (SELECT f.*, e.t, e.c, e.n * exp(f.alpha + f.beta * e.t) AS mu FROM fit{i - 1} f JOIN effects e
-        ON e.species = f.species AND e.frequency = f.frequency AND e.stratum = f.stratum WHERE e.n > 0) f
-  GROUP BY f.species, f.frequency, f.stratum)""")
-        parts.append(f"""fit{i} AS MATERIALIZED (SELECT species, frequency, stratum,
-  alpha + (wxx * r - wx * rx) / (w * wxx - wx * wx) AS alpha,
-  beta + (w * rx - wx * r) / (w * wxx - wx * wx) AS beta FROM sums{i})""")
-    tail = f"""SELECT species, frequency, stratum, {_six('alpha', 'beta')},
-  round(w / (w * wxx - wx * wx), 8) AS var_beta FROM sums{steps + 1}"""
-    base = statement("SELECT * FROM lines JOIN effects USING (species)")
-    head = base[: base.rindex("\nSELECT * FROM lines")]
-    return f"{head},\n" + ",\n".join(parts) + f"\n{tail}"
-
-
 def oracle() -> dict[str, str]:
     s = statement
     sql: dict[str, str] = {}
@@ -611,11 +645,26 @@ def oracle() -> dict[str, str]:
       FROM (SELECT *, round(ic_non_linear - ic_linear, 6) AS difference FROM (
         SELECT species, frequency, 2.0::DOUBLE * count(*) AS ic_non_linear, 4.0::DOUBLE * count(DISTINCT stratum)
           + 2 * sum((CASE WHEN c > 0 THEN c * ln(c / mu) ELSE 0 END - (c - mu)) / phi) AS ic_linear
-        FROM (SELECT e.*, n * exp(alpha + beta * t) AS mu FROM effects e JOIN lines l
+        FROM (SELECT e.*, n * exp(alpha + beta * t) AS mu FROM effects e JOIN best_lines l
               USING (species, frequency, stratum) WHERE NOT imputed) JOIN {PHI} USING (species)
         GROUP BY species, frequency))""")
     sql["linear_estimate"] = s(f"SELECT species, frequency, t, label, {four} FROM linear_levels")
-    sql["exact_lines"] = _exact_lines()
+    sql["exact_lines"] = s(f"""SELECT species, frequency, stratum, {_six('alpha', 'beta')},
+        round(var_beta, 8) AS var_beta, converged FROM best_lines""")
+    own = "species, frequency, stratum, t, label, n, c, imputed"
+    sql["smoothed_effects"] = s(f"SELECT {own}, {_six('b', 'var', 'tau2', 'gain')} FROM walk", stratum="n_name")
+    sql["contrast_variances"] = s(f"""SELECT species, frequency, kind, name, {four} FROM (SELECT *, {_limits()} FROM (
+        SELECT m.species, m.frequency, kind, name, estimate, variance FROM (
+          SELECT species, frequency, kind, name, sum(coef * b) AS estimate
+          FROM contrasts JOIN walk USING (species, frequency, stratum, t) GROUP BY ALL) m
+        JOIN (SELECT x.species, x.frequency, x.kind, x.name, sum(x.coef * y.coef * cov) AS variance
+          FROM contrasts x JOIN contrasts y
+            ON x.species = y.species AND x.frequency = y.frequency AND x.kind = y.kind AND x.name = y.name
+              AND x.stratum = y.stratum
+          JOIN walk_covariances v ON v.species = x.species AND v.frequency = x.frequency AND v.stratum = x.stratum
+            AND v.s = x.t AND v.t = y.t
+          GROUP BY x.species, x.frequency, x.kind, x.name) q
+        ON m.species = q.species AND m.frequency = q.frequency AND m.kind = q.kind AND m.name = q.name))""", stratum="n_name")
     sql["contrast_table"] = s("SELECT species, frequency, kind, name, stratum, t, round(coef, 6) AS coef FROM contrasts")
     sql["contrast_estimates"] = s("""SELECT species, frequency, kind, name, round(sum(coef * b), 6) AS estimate,
         round(sum(coef * coef * var), 6) AS variance

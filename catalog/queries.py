@@ -422,9 +422,19 @@ def linearity_verdict_overdispersed(spark, folder):
 
 
 def exact_lines(spark, folder):
-    fits = effects.exact_fits(survey(spark, folder).effects)
-    precise = F.round("var_beta", 8).alias("var_beta")
-    return rounded(fits.select("*", precise.alias("precise")), ["species", "frequency", "stratum", "precise"], "alpha", "beta").withColumnRenamed("precise", "var_beta")
+    fits = survey(spark, folder).exact_lines.withColumn("var_beta", F.round("var_beta", 8))
+    return rounded(fits, ["species", "frequency", "stratum", "var_beta", "converged"], "alpha", "beta")
+
+
+def smoothed_effects(spark, folder):
+    """With the nations as strata, where some time steps have no visits."""
+    keys = ["species", "frequency", "stratum", "t", "label", "n", "c", "imputed"]
+    return rounded(survey(spark, folder, stratum="n_name").smoothed_effects, keys, "b", "var", "tau2", "gain")
+
+
+def contrast_variances(spark, folder):
+    sv = survey(spark, folder, stratum="n_name")
+    return _contrast(sv.smoothed_contrasts, "species", "frequency", "kind", "name")
 
 
 def contrast_table(spark, folder):
@@ -629,6 +639,8 @@ QUERIES: dict[str, Query] = {
         linear_trend_overdispersed,
         linear_estimate_overdispersed,
         exact_lines,
+        smoothed_effects,
+        contrast_variances,
         contrast_table,
         contrast_estimates,
         linear_contrasts,

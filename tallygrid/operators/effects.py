@@ -15,6 +15,7 @@ from tallygrid.functions.seasons import cycle_of, cycle_start
 
 SERIES = ["species", "frequency"]
 LINE = ["species", "frequency", "stratum"]
+HALVINGS = 20  # of a step of the scoring
 
 
 def time_cells(relevant: DataFrame, base_year: int, cycle_len: int = 3) -> DataFrame:
@@ -232,10 +233,13 @@ def line_fits(effects: DataFrame) -> DataFrame:
     )
 
 
-def exact_fits(effects: DataFrame, steps: int = 8) -> DataFrame:
+def exact_fits(effects: DataFrame, steps: int = 50, tolerance: float = 1e-9) -> DataFrame:
     """The same lines by maximum likelihood: Fisher scoring from the weighted regression.
 
-    The observed cells of a line travel as one array, no longer than the time steps.
+    A step that lowers the likelihood is halved, up to ``HALVINGS`` times. ``converged`` says whether
+    the last full step was below ``tolerance``; a line without it has the values it had got to, as
+    where all individuals were counted at one end. A single time step needs no scoring. The observed
+    cells of a line travel as one array, no longer than the time steps.
     """
     start = line_fits(effects)
     keys = _line_keys(effects)
@@ -251,28 +255,69 @@ def exact_fits(effects: DataFrame, steps: int = 8) -> DataFrame:
     def total(term) -> Column:
         return F.aggregate("cells", F.lit(0.0), lambda acc, cell: acc + term(cell))
 
-    def step(s: Column, _: Column) -> Column:
-        w = total(lambda d: mu(d, s))
-        wx = total(lambda d: mu(d, s) * d["t"])
-        wxx = total(lambda d: mu(d, s) * d["t"] * d["t"])
-        r = total(lambda d: d["c"] - mu(d, s))
-        rx = total(lambda d: (d["c"] - mu(d, s)) * d["t"])
-        det = w * wxx - wx * wx
-        fits = det > 0
+    def let(value: Column, body) -> Column:
+        return F.element_at(F.transform(F.array(value), body), 1)
+
+    def likelihood(s: Column) -> Column:
+        return total(lambda d: d["c"] * (s["alpha"] + s["beta"] * d["t"]) - mu(d, s))
+
+    def sums(s: Column) -> Column:
         return F.struct(
-            F.when(fits, s["alpha"] + (wxx * r - wx * rx) / det).otherwise(s["alpha"]).alias("alpha"),
-            F.when(fits, s["beta"] + (w * rx - wx * r) / det).otherwise(s["beta"]).alias("beta"),
+            total(lambda d: mu(d, s)).alias("w"),
+            total(lambda d: mu(d, s) * d["t"]).alias("wx"),
+            total(lambda d: mu(d, s) * d["t"] * d["t"]).alias("wxx"),
+            total(lambda d: d["c"] - mu(d, s)).alias("r"),
+            total(lambda d: (d["c"] - mu(d, s)) * d["t"]).alias("rx"),
         )
 
-    first = F.struct(F.col("alpha").alias("alpha"), F.col("beta").alias("beta"))
+    def direction(x: Column) -> Column:
+        det = x["w"] * x["wxx"] - x["wx"] * x["wx"]
+        return F.struct(
+            F.when(det > 0, (x["wxx"] * x["r"] - x["wx"] * x["rx"]) / det).alias("alpha"),
+            F.when(det > 0, (x["w"] * x["rx"] - x["wx"] * x["r"]) / det).alias("beta"),
+        )
+
+    def moved(s: Column, d: Column) -> Column:
+        """The state after the largest share of a step that does not lower the likelihood."""
+        size = F.greatest(F.abs(d["alpha"]), F.abs(d["beta"]))
+
+        def after(share: Column) -> Column:
+            return F.struct(
+                (s["alpha"] + share * d["alpha"]).alias("alpha"), (s["beta"] + share * d["beta"]).alias("beta")
+            )
+
+        now = likelihood(s)
+        shares = F.array(*[F.lit(0.5**k) for k in range(HALVINGS + 1)])
+        better = let(now, lambda a: F.filter(shares, lambda h: likelihood(after(h)) >= a - 1e-12 * F.abs(a)))
+        share = F.try_element_at(better, F.lit(1))
+
+        def state(h: Column) -> Column:
+            there = after(F.coalesce(h, F.lit(0.0)))
+            # Without a usable step, or with none that helps, there is nothing more to do.
+            stuck = h.isNull() | size.isNull()
+            return F.struct(
+                F.coalesce(there["alpha"], s["alpha"]).alias("alpha"),
+                F.coalesce(there["beta"], s["beta"]).alias("beta"),
+                F.coalesce(size < tolerance, F.lit(False)).alias("converged"),
+                (stuck | (size < tolerance)).alias("done"),
+            )
+
+        return let(share, state)
+
+    def step(s: Column, _: Column) -> Column:
+        return F.when(s["done"], s).otherwise(let(sums(s), lambda x: let(direction(x), lambda d: moved(s, d))))
+
+    single = F.size("cells") < 2
+    first = F.struct(
+        F.col("alpha").alias("alpha"),
+        F.col("beta").alias("beta"),
+        single.alias("converged"),
+        single.alias("done"),
+    )
     fitted = start.join(cells, LINE).withColumn(
         "fit", F.aggregate(F.sequence(F.lit(1), F.lit(steps)), first, step)
     )
-    s = F.col("fit")
-    w = total(lambda d: mu(d, s))
-    wx = total(lambda d: mu(d, s) * d["t"])
-    wxx = total(lambda d: mu(d, s) * d["t"] * d["t"])
-    info = fitted.withColumn("w", w).withColumn("wx", wx).withColumn("wxx", wxx)
+    info = fitted.withColumn("x", sums(F.col("fit"))).select("*", "x.w", "x.wx", "x.wxx")
     det = F.col("w") * F.col("wxx") - F.col("wx") * F.col("wx")
     return info.select(
         *keys,
@@ -280,7 +325,8 @@ def exact_fits(effects: DataFrame, steps: int = 8) -> DataFrame:
         "fit.alpha",
         "fit.beta",
         (F.col("wx") / F.col("w")).alias("mean_t"),
-        F.when(det > 0, _phi(effects) * F.col("w") / det).otherwise(0.0).alias("var_beta"),
+        F.when(~single & (det > 0), _phi(effects) * F.col("w") / det).otherwise(0.0).alias("var_beta"),
+        "fit.converged",
     )
 
 
@@ -289,6 +335,7 @@ def information_criteria(effects: DataFrame, fits: DataFrame) -> DataFrame:
 
     The non-linear model has a parameter per observed cell and no deviance; the linear one has
     two per stratum and the deviance of its lines, divided by the overdispersion if there is one.
+    The lines should be those of ``exact_fits``: the deviance is smallest there.
     """
     mu = F.col("n") * F.exp(F.col("alpha") + F.col("beta") * F.col("t"))
     log_part = F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / mu)).otherwise(0.0)

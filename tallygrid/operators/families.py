@@ -167,7 +167,14 @@ def fit_families(series: DataFrame, steps: int = STEPS) -> DataFrame:
         .otherwise("not converged")
     )
     return series.withColumn("fit", fit).select(
-        *SERIES, "family", "cells", "fit.zeros", size.alias("size"), "fit.means", "fit.steps", status.alias("status")
+        *SERIES,
+        "family",
+        "cells",
+        "fit.zeros",
+        size.alias("size"),
+        F.coalesce("fit.means", F.transform("cells", lambda c: F.lit(None).cast("double"))).alias("means"),
+        "fit.steps",
+        status.alias("status"),
     )
 
 
@@ -202,7 +209,8 @@ def family_effects(grid: DataFrame, tails: DataFrame, families: DataFrame, steps
     )
     share = F.when(F.col("zeros") > 0, F.col("zeros") / (F.col("zeros") + (1 - F.col("zeros")) * chance)).otherwise(0.0)
     rows = rows.withColumn("share", share).withColumn("own", F.col("visits") - F.col("empty") * F.col("share"))
-    rows = rows.withColumn("mean", F.when(F.col("count") > 0, F.col("raw")).otherwise(0.5 / F.col("own")))
+    half = F.when(F.col("raw").isNotNull(), 0.5 / F.col("own"))
+    rows = rows.withColumn("mean", F.when(F.col("count") > 0, F.col("raw")).otherwise(half))
     damped = F.when(F.col("size").isNull(), 1.0).otherwise(F.col("size") / (F.col("size") + F.col("mean")))
     full = F.col("own") * F.col("mean") * damped
     pull = F.col("mean") * damped

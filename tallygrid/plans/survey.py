@@ -31,6 +31,7 @@ from tallygrid.operators import (
     relevance,
     reports,
     samples,
+    smoothing,
     weights,
 )
 from tallygrid.staging import Staging
@@ -286,6 +287,21 @@ class Survey:
 
         return self.stage("effects", build)
 
+    @cached_property
+    def smoothed_effects(self) -> DataFrame:
+        """The effects as random walks, with what neighbouring time steps share."""
+        return self.stage(
+            "smoothed_effects",
+            lambda: effects.weighted(smoothing.smoothed_effects(self.effects.drop("weight")), self.weights),
+        )
+
+    @cached_property
+    def smoothed_contrasts(self) -> DataFrame:
+        """Estimates, indices and trends of the random walks."""
+        d = self.design
+        table = contrasts.contrast_table(self.smoothed_effects, d.year_windows, d.cycle_windows)
+        return smoothing.correlated_contrasts(table, self.smoothed_effects)
+
     @cached_property
     def estimates(self) -> DataFrame:
         return contrasts.estimate(self.effects)
@@ -303,14 +319,18 @@ class Survey:
         d = self.design
         return contrasts.moving_trend(self.series, d.year_windows, d.cycle_windows, d.cycle_len)
 
+    @cached_property
+    def exact_lines(self) -> DataFrame:
+        """Lines by maximum likelihood, with whether they converged."""
+        return self.stage("exact_lines", lambda: effects.exact_fits(self.effects))
+
     @cached_property
     def lines(self) -> DataFrame:
-        fit = effects.exact_fits if self.design.exact_lines else effects.line_fits
-        return fit(self.effects)
+        return self.exact_lines if self.design.exact_lines else effects.line_fits(self.effects)
 
     @cached_property
     def criteria(self) -> DataFrame:
-        return effects.information_criteria(self.effects, self.lines)
+        return effects.information_criteria(self.effects, self.exact_lines)
 
     @cached_property
     def linear_trend(self) -> DataFrame:
