@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.tokens import gather, pieces
+from tallygrid.llm.tokens import Known, gather, pieces
 
 VOCABULARY = "byte_bpe_50k.json"
 LONG = 256
@@ -299,18 +299,6 @@ class Vocabulary:
         return self.spell(ids).decode("utf-8", "replace")
 
 
-class _Known(dict):
-    """Number of each word; one that is asked for first gets the next number."""
-
-    def __init__(self, first: int):
-        self.first, self.new = first, []
-
-    def __missing__(self, word: str) -> int:
-        code = self[word] = self.first + len(self)
-        self.new.append(word)
-        return code
-
-
 class Encoder:
     """Ids of texts, with the words that a worker remembers."""
 
@@ -318,7 +306,7 @@ class Encoder:
         self._vocabulary = vocabulary
         special = np.array(sorted(vocabulary.special.values()), np.int32)
         self._special = {i: k for k, i in enumerate(special.tolist())}
-        self._known = _Known(len(special))
+        self._known = Known({}, len(special))
         self._ids = special
         self._size = np.ones(len(special), np.int64)
         self._bytes = 0

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import free
+from tallygrid.llm.common import without
 from tallygrid.staging import Staging
 
 SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -244,9 +244,6 @@ def decontamination_table(docs: DataFrame, items: DataFrame, staging: Staging) -
 def clean(docs: DataFrame, items: DataFrame, staging: Staging) -> DataFrame:
     """The documents without any hit."""
     spans, _ = contamination(docs, items, staging)
-    named, text = free(docs, "_named", "_hash")
-    bad = spans.select(F.col("doc_id").alias(named), F.col("_text").alias(text)).distinct()
+    bad = staging.write("hit", spans.select("doc_id", "_text").distinct())
     own = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.join(
-        bad, docs["doc_id"].eqNullSafe(F.col(named)) & (own == F.col(text)), "left_anti"
-    )
+    return without(docs, [docs["doc_id"], own], bad)

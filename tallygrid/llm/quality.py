@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import free, uniform
+from tallygrid.llm.common import uniform, without
 from tallygrid.operators.ranking import number_rows
 from tallygrid.staging import Staging
 
@@ -208,21 +208,29 @@ def importance(
     return scored.select("doc_id", "n_grams", "log_ratio", key.alias("key"))
 
 
-def resample(
+def ranked(
     docs: DataFrame, labels: DataFrame, staging: Staging, share: float | None = None
-) -> DataFrame:
-    """The drawn documents: doc_id, n_grams, log_ratio, key and their rank by key."""
+) -> tuple[DataFrame, int]:
+    """All documents with their rank by key, and how many of them are drawn."""
     share = good_share(labels) if share is None else share
     ratios, toxic = models(docs, labels) if share is not None else (np.zeros(BUCKETS), None)
     scored = staging.write("importance", importance(docs, ratios, toxic=toxic))
     k = scored.count() if share is None else round(share * scored.count())
     order = [F.col("key").desc(), F.col("doc_id").asc_nulls_last(), F.col("n_grams")]
-    return number_rows(scored, order, "rank", staging).where(F.col("rank") <= k)
+    return number_rows(scored, order, "rank", staging), k
+
+
+def resample(
+    docs: DataFrame, labels: DataFrame, staging: Staging, share: float | None = None
+) -> DataFrame:
+    """The drawn documents: doc_id, n_grams, log_ratio, key and their rank by key."""
+    rows, k = ranked(docs, labels, staging, share)
+    return rows.where(F.col("rank") <= k)
 
 
 def kept(docs: DataFrame, labels: DataFrame, staging: Staging) -> DataFrame:
     """The documents that are drawn; all rows of an id of which one is."""
-    (named,) = free(docs, "_named")
-    ids = resample(docs, labels, staging).select(F.col("doc_id").alias(named)).distinct()
-    ids = staging.write("drawn", ids)
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col(named)), "left_semi")
+    rows, k = ranked(docs, labels, staging)
+    best = rows.groupBy("doc_id").agg(F.min("rank").alias("rank"))
+    gone = staging.write("not_drawn", best.where(F.col("rank") > k).select("doc_id"))
+    return without(docs, [docs["doc_id"].cast("long")], gone)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import free
+from tallygrid.llm.common import partitions, without
 from tallygrid.staging import Staging
 
 BITS = 64
@@ -192,7 +192,7 @@ def plan_layout(
             if own == m:
                 grown = growth(p, groups[i], distance) * pairs.get(k, 0.0)
                 balls = np.cumsum([comb(len(groups[i]), t) for t in range(distance + 1)])
-                costs[i] = grown * PAIR_COST + n * balls * ROW_COST
+                costs[i] = grown * PAIR_COST + max(n, 1) * balls * ROW_COST
         chosen = allocate(costs, distance + 1)
         cost = sum(costs[i, t] for i, t in enumerate(chosen) if t >= 0)
         if best is None or cost < best[0]:
@@ -352,12 +352,20 @@ def near_duplicates(
     found = classes.select("fp")
     layout = plan_layout(found, distance)
     roots = components(links(found, layout, staging, distance, block), staging)
-    labelled = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "smallest", F.coalesce("root", "fp").alias("root")
+    # A component may hold a third of all rows: it is split by fingerprint on the way back as well.
+    split = F.pmod(F.xxhash64("node"), F.lit(partitions(docs.sparkSession))).cast("int").alias("split")
+    linked = staging.write(
+        "linked", roots.join(classes, F.col("fp") == F.col("node")).select("node", "root", "smallest", split)
     )
-    smallest = labelled.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    ids = labelled.join(smallest, "root").select("fp", "component_id")
-    return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+    parts = linked.groupBy("root", "split").agg(F.min("smallest").alias("smallest"))
+    smallest = parts.groupBy("root").agg(
+        F.min("smallest").alias("component_id"), F.collect_set("split").alias("splits")
+    ).select("root", "component_id", F.explode("splits").alias("split"))
+    ids = linked.join(smallest, ["root", "split"]).select("node", "component_id")
+    named = classes.join(ids, F.col("fp") == F.col("node"), "left").select(
+        "fp", F.when(F.col("node").isNull(), F.col("smallest")).otherwise(F.col("component_id")).alias("component_id")
+    )
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def simhash_table(docs: DataFrame, staging: Staging) -> DataFrame:
@@ -369,7 +377,7 @@ def simhash_table(docs: DataFrame, staging: Staging) -> DataFrame:
 
 def deduplicated(docs: DataFrame, staging: Staging) -> DataFrame:
     """One document of every component: the one whose id names it."""
-    kept = near_duplicates(docs, staging).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    (named,) = free(docs, "_named")
-    kept = kept.select(F.col("doc_id").alias(named)).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col(named)), "left_semi")
+    stays = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = near_duplicates(docs, staging).groupBy("doc_id").agg(stays.alias("stays"))
+    gone = staging.write("copies", rows.where(~F.col("stays")).select("doc_id"))
+    return without(docs, [docs["doc_id"].cast("long")], gone)

@@ -69,6 +69,19 @@ def gather(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarra
     return values.take(np.arange(size.sum()) + np.repeat(begin - upto + size, size))
 
 
+class Known(dict):
+    """Number of each word; one that is asked for first gets the next number."""
+
+    def __init__(self, known: dict[str, int], first: int = 0):
+        super().__init__(known)
+        self.first, self.new = first, []
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = self.first + len(self)
+        self.new.append(word)
+        return code
+
+
 class Tokens:
     """Ids of texts as 16-bit numbers, by the tokenizers library."""
 
@@ -84,7 +97,8 @@ class Tokens:
         if self._tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("the vocabulary has more than 65536 ids")
         # Words with the places of their ids; the first one is empty.
-        self._known = pa.array([""], pa.string())
+        self._known = Known({"": 0})
+        self._held = 0
         self._ids = np.zeros(0, np.uint16)
         self._begin, self._size = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self._byte_letters = _byte_letters()
@@ -105,25 +119,36 @@ class Tokens:
 
     def _forget(self) -> None:
         """Keep what was met first, as common words are."""
-        ends = np.cumsum(pc.binary_length(self._known).to_numpy(), dtype=np.int64)
-        n = min(REMEMBERED, max(1, int(np.searchsorted(ends, REMEMBERED_BYTES, "right"))))
-        if n < len(self._known):
-            self._known = pa.concat_arrays([self._known.slice(0, n)])
-            self._begin, self._size = self._begin[:n].copy(), self._size[:n].copy()
-            self._ids = self._ids[: self._begin[-1] + self._size[-1]].copy()
+        known, new = self._known, self._known.new
+        known.new = []
+        before = len(known) - len(new)
+        for keep, word in enumerate(new):
+            if before + keep >= REMEMBERED or self._held + len(word) > REMEMBERED_BYTES:
+                break
+            self._held += len(word)
+        else:
+            return
+        for word in new[keep:]:
+            del known[word]
+        n = len(known)
+        self._begin, self._size = self._begin[:n].copy(), self._size[:n].copy()
+        self._ids = self._ids[: self._begin[-1] + self._size[-1]].copy()
 
     def _places(self, words: pa.Array, encode: Callable[[list[str]], list[list[int]]]) -> np.ndarray:
         """Where words are among those known; ``encode`` gives the ids of new ones."""
-        new = words.filter(pc.invert(pc.is_in(words, value_set=self._known))).unique()
-        if len(new):
-            found = encode(new.to_pylist())
+        known = self._known
+        before = len(known.new)
+        names = words.to_pylist()
+        place = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+        new = known.new[before:]
+        if new:
+            found = encode(new)
             size = np.fromiter(map(len, found), np.int64, len(found))
             ids = np.fromiter(chain.from_iterable(found), np.uint16, size.sum())
             self._begin = np.concatenate((self._begin, len(self._ids) + np.cumsum(size) - size))
             self._size = np.concatenate((self._size, size))
             self._ids = np.concatenate((self._ids, ids))
-            self._known = pa.concat_arrays([self._known, new])
-        return pc.index_in(words, value_set=self._known).to_numpy()
+        return place
 
     def _words(self, words: pa.Array) -> np.ndarray:
         """Places of the two parts of words: letters, or all of an odd word, and the marks behind."""
