@@ -160,6 +160,7 @@ def tables(
     min_stratum: int = 3,
     min_cycle: int = 2,
     proportion: float = 0.15,
+    line_steps: int = 50,
 ) -> dict[str, str]:
     group = "p_type" if species != "p_type" else "p_brand"
     k = min_observation
@@ -300,9 +301,9 @@ def tables(
         swx / sw AS mean_t, CASE WHEN det > 0 THEN sw / det ELSE 0 END AS var_beta
       FROM (SELECT *, CASE WHEN det > 0 THEN (sw * swxy - swx * swy) / det ELSE 0 END AS beta
             FROM (SELECT *, sw * swxx - swx * swx AS det FROM line_sums))"""
-    t["line_steps"] = """WITH RECURSIVE walk AS (
+    t["line_steps"] = f"""WITH RECURSIVE walk AS (
       SELECT species, frequency, stratum, any_value(alpha) AS alpha, any_value(beta) AS beta,
-        list({'t': t, 'n': n, 'c': c}) AS cells, 1::DOUBLE AS moved, 0 AS step
+        list({{'t': t, 'n': n, 'c': c}}) AS cells, 1::DOUBLE AS moved, 0 AS step
       FROM lines JOIN effects USING (species, frequency, stratum) WHERE n > 0 GROUP BY species, frequency, stratum
       UNION ALL
       SELECT species, frequency, stratum, alpha + da, beta + db, cells, greatest(abs(da), abs(db)), step + 1
@@ -312,7 +313,7 @@ def tables(
           list_sum(list_transform(mu, lambda x, i: cells[i].c - x)) AS r,
           list_sum(list_transform(mu, lambda x, i: (cells[i].c - x) * cells[i].t)) AS rx
       FROM (SELECT *, list_transform(cells, lambda x: x.n * exp(alpha + beta * x.t)) AS mu
-      FROM walk WHERE moved >= 1e-9 AND step < 50 AND len(cells) > 1)))
+      FROM walk WHERE moved >= 1e-9 AND step < {line_steps} AND len(cells) > 1)))
     ) SELECT * FROM walk"""
     t["best_lines"] = """SELECT species, frequency, stratum, alpha, beta, moved < 1e-9 OR len(cells) < 2 AS converged,
         CASE WHEN len(cells) < 2 THEN 0 ELSE w / (w * wxx - wx * wx) END AS var_beta, wx / w AS mean_t, w AS sw
@@ -410,18 +411,35 @@ def tables(
         species_group || '/' || frequency || '/' || type AS analysis
       FROM (SELECT DISTINCT species_group FROM groups), options"""
     t["members"] = "SELECT * FROM groups JOIN analyses USING (species)"
-    t["models"] = """SELECT analysis, species AS speciesgroup, 'inla ' || coalesce(family, 'poisson') || ': ' ||
+    t["astray"] = "SELECT DISTINCT species, frequency, 'linear' AS type FROM best_lines WHERE NOT converged"
+    t["models"] = """SELECT m.*, CASE WHEN m.speciesgroup NOT IN (SELECT species FROM analysed) THEN 'insufficient_data'
+        WHEN (m.speciesgroup, m.frequency, m.type) IN (SELECT (species, frequency, type) FROM astray)
+        THEN 'not converged' ELSE 'converged' END AS status
+      FROM (SELECT species || '/' || frequency || '/' || type AS analysis, species AS speciesgroup, frequency, type,
+        'inla ' || coalesce(family, 'poisson') || ': ' ||
         CASE type WHEN 'linear' THEN frequency || ':stratum' ELSE 'RW1(' || frequency || '|stratum)' END
         || ' + period + square + point' AS model_type
-      FROM analyses LEFT JOIN families USING (species)
+      FROM (SELECT * FROM taxa, options) LEFT JOIN families USING (species)) m
       UNION ALL
-      SELECT analysis, species_group, 'composite index: ' || frequency || ' ' || type FROM group_analyses"""
+      SELECT analysis, species_group, frequency, type, 'composite index: ' || frequency || ' ' || type, 'converged'
+      FROM group_analyses"""
+    steps = [("placed", 0), ("r1", 1), ("r2", 2), ("r3", 3), ("r4", 4), ("r5", 5)]
+    t["positives"] = " UNION ALL ".join(
+        f"SELECT species, {i} AS gate, count(*) AS n FROM {name} WHERE count > 0 GROUP BY species" for name, i in steps
+    )
+    nested = "SELECT *, n0 AS pos_0 FROM (SELECT species, " + ", ".join(
+        f"coalesce(max(n) FILTER (gate = {i}), 0) AS n{i}" for _, i in steps
+    ) + " FROM positives GROUP BY species)"
+    for i in range(1, 6):
+        nested = f"SELECT *, CASE WHEN pos_{i - 1} >= {k} THEN n{i} END AS pos_{i} FROM ({nested})"
+    fails = " ".join(f"WHEN pos_{i} < {k} THEN {i}" for i in range(6))
+    t["gates"] = f"SELECT *, CASE {fails} END AS gate FROM ({nested})"
     t["meta"] = """SELECT m.analysis, speciesgroup, contains(model_type, 'composite') AS composite,
         contains(model_type, 'cycle') AS cycle,
         NOT (contains(model_type, 'RW1') OR contains(model_type, 'non linear')) AS linear,
         CASE WHEN contains(model_type, 'composite') THEN NULL
           ELSE regexp_extract(model_type, 'inla (.*): .*', 1) END AS family,
-        sha1(m.analysis || '|converged') AS status_fingerprint, 'converged' AS status, i.ic
+        sha1(m.analysis || '|' || status) AS status_fingerprint, status, i.ic
       FROM models m LEFT JOIN (
         SELECT species || '/' || frequency || '/linear' AS analysis, ic_linear AS ic FROM criteria
         UNION ALL
@@ -538,7 +556,7 @@ def oracle() -> dict[str, str]:
     sql["species_catalogue"] = s("""SELECT name, label, folder || label || '.qmd' AS output_file FROM (
       SELECT speciesgroup AS name, lower(replace(replace(speciesgroup, ' ', '-'), '''', '')) AS label,
         CASE WHEN composite THEN 'index/' ELSE 'species/' END AS folder
-      FROM (SELECT DISTINCT speciesgroup, composite FROM meta))""")
+      FROM (SELECT DISTINCT speciesgroup, composite FROM meta WHERE status = 'converged'))""")
     sql["table_fingerprint"] = s(f"""SELECT count(*) AS n_rows, {_digest('species', 'sample_id', 'count')} AS digest
       FROM all_counts""")
     sql["analysis_fingerprint"] = s(f"""SELECT analysis,
@@ -592,6 +610,10 @@ def oracle() -> dict[str, str]:
         count(DISTINCT square) AS n_squares, count(DISTINCT stratum) AS n_strata FROM relevant GROUP BY species)""")
     sql["pending_analyses"] = s("""SELECT species, frequency, type, species || '/' || frequency || '/' || type AS analysis
       FROM taxa, options WHERE species NOT IN (SELECT species FROM analysed)""", **STRICT)
+    numbers = ", ".join(f"pos_{i}::DOUBLE AS pos_{i}" for i in range(6))
+    sql["gate_trace"] = s(f"SELECT species, {numbers}, gate::DOUBLE AS gate FROM gates", **STRICT)
+    sql["analysis_status"] = s("""SELECT analysis, speciesgroup, composite, cycle, linear, family, status_fingerprint, status
+      FROM meta""", stratum="n_name", proportion=0.95, line_steps=3)
     # weights and effort
     sql["stratum_weights"] = s("SELECT species, stratum, n_frame, r_relevant, t_surveyed, round(weight, 6) AS weight FROM weights")
     sql["stratum_weight_table"] = s("SELECT * EXCLUDE (weight), round(weight, 5) AS weight FROM weight_table")
@@ -654,7 +676,7 @@ def oracle() -> dict[str, str]:
     own = "species, frequency, stratum, t, label, n, c, imputed"
     sql["smoothed_effects"] = s(f"SELECT {own}, {_six('b', 'var', 'tau2', 'gain')} FROM walk", stratum="n_name")
     sql["contrast_variances"] = s(f"""SELECT species, frequency, kind, name, {four} FROM (SELECT *, {_limits()} FROM (
-        SELECT m.species, m.frequency, kind, name, estimate, variance FROM (
+        SELECT m.species, m.frequency, m.kind, m.name, estimate, variance FROM (
           SELECT species, frequency, kind, name, sum(coef * b) AS estimate
           FROM contrasts JOIN walk USING (species, frequency, stratum, t) GROUP BY ALL) m
         JOIN (SELECT x.species, x.frequency, x.kind, x.name, sum(x.coef * y.coef * cov) AS variance

@@ -298,6 +298,17 @@ def design_choice(spark, folder):
     return survey(spark, folder).design_choice
 
 
+def gate_trace(spark, folder):
+    trace = survey(spark, folder, **STRICT).gate_trace
+    return trace.withColumns({c: F.col(c).cast("double") for c in trace.columns if c != "species"})
+
+
+def analysis_status(spark, folder):
+    """With the nations as strata few data are left: some species fail, and three steps of the
+    scoring are too few for some lines."""
+    return survey(spark, folder, stratum="n_name", proportion=0.95, line_steps=3).meta.drop("ic")
+
+
 def pending_analyses(spark, folder):
     sv = survey(spark, folder, **STRICT)
     wanted = lineage.analyses(sv.source.species().select("species"), "species")
@@ -620,6 +631,8 @@ QUERIES: dict[str, Query] = {
         select_relevant_strict,
         complete_grid,
         design_choice,
+        gate_trace,
+        analysis_status,
         pending_analyses,
         stratum_weights,
         stratum_weight_table,

@@ -209,6 +209,64 @@ def second_square_rule(profile: DataFrame, strata: DataFrame, min_cycle: int) ->
     )
 
 
+def gate_trace(
+    profile: DataFrame,
+    candidates: DataFrame,
+    min_observation: int,
+    min_stratum: int,
+    min_cycle: int,
+) -> DataFrame:
+    """Positive counts of every species at each of six gates, and the first gate it fails at.
+
+    The gates: all counts (0), and what is left after the square rule (1), the stratum rule (2), the
+    periods (3), the square rule within the periods (4) and the stratum rule on those squares (5).
+    ``pos_1`` to ``pos_5`` are NULL behind the gate that failed; ``gate`` is NULL if none did. One
+    pass over the squares: each gate is a sum under its own conditions, first per stratum.
+    """
+
+    def positives(tallies: Column) -> Column:
+        return F.aggregate(tallies, F.lit(0).cast("long"), lambda s, t: s + t["n_pos"])
+
+    inside = F.filter("tallies", lambda t: F.array_contains(F.col("periods"), t["period"]))
+    squares = profile.join(
+        candidates.select("species", "stratum", "periods"), ["species", "stratum"], "left"
+    ).select(
+        "species",
+        "stratum",
+        positives(F.col("tallies")).alias("all"),
+        F.when(F.col("periods").isNotNull(), positives(inside)).otherwise(0).alias("within"),
+        (cycles_found(F.col("tallies")) >= min_cycle).alias("first"),
+        F.when(F.col("periods").isNotNull(), cycles_found(F.col("tallies"), F.col("periods")) >= min_cycle)
+        .otherwise(False)
+        .alias("second"),
+    )
+
+    def kept(column: str, condition: Column | str) -> Column:
+        return F.sum(F.when(F.col(condition) if isinstance(condition, str) else condition, F.col(column)).otherwise(0))
+
+    strata = squares.groupBy("species", "stratum").agg(
+        F.sum("all").alias("n0"),
+        kept("all", "first").alias("n1"),
+        kept("within", "first").alias("n3"),
+        kept("within", "second").alias("n4"),
+        (F.count_if("first") >= min_stratum).alias("enough"),
+        (F.count_if("second") >= min_stratum).alias("enough_within"),
+    )
+    totals = strata.groupBy("species").agg(
+        F.sum("n0").alias("pos_0"),
+        F.sum("n1").alias("pos_1"),
+        kept("n1", "enough").alias("pos_2"),
+        kept("n3", "enough").alias("pos_3"),
+        kept("n4", "enough").alias("pos_4"),
+        kept("n4", "enough_within").alias("pos_5"),
+    )
+    gate = F.lit(None).cast("int")
+    for i in reversed(range(6)):
+        gate = F.when(F.col(f"pos_{i}") < min_observation, i).otherwise(gate)
+    reached = [F.when(F.col("gate").isNull() | (F.col("gate") >= i), F.col(f"pos_{i}")).alias(f"pos_{i}") for i in range(6)]
+    return totals.withColumn("gate", gate).select("species", *reached, "gate")
+
+
 def relevant_cells(
     cells: DataFrame, profile: DataFrame, strata: DataFrame, min_cycle: int, base_year: int, cycle_len: int
 ) -> DataFrame:

@@ -156,8 +156,9 @@ def endpoint_text(changes: DataFrame) -> DataFrame:
 
 
 def _identified(df: DataFrame, meta: DataFrame) -> DataFrame:
+    """Rows of finished analyses with the name of their species and the fingerprint of their status."""
     return df.join(
-        meta.select("analysis", F.col("speciesgroup").alias("species_name"), "status_fingerprint"), "analysis"
+        meta.filter(F.col("status") == "converged").select("analysis", F.col("speciesgroup").alias("species_name"), "status_fingerprint"), "analysis"
     )
 
 

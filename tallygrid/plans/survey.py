@@ -65,6 +65,7 @@ class SurveyDesign:
     family: str | None = None
     overdispersion: bool = False
     exact_lines: bool = False
+    line_steps: int = 50  # of the scoring of a line; one that needs more has not converged
     lang: str = "en"
 
 
@@ -322,7 +323,7 @@ class Survey:
     @cached_property
     def exact_lines(self) -> DataFrame:
         """Lines by maximum likelihood, with whether they converged."""
-        return self.stage("exact_lines", lambda: effects.exact_fits(self.effects))
+        return self.stage("exact_lines", lambda: effects.exact_fits(self.effects, self.design.line_steps))
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -382,15 +383,49 @@ class Survey:
     def members(self) -> DataFrame:
         return composite.composite_members(self.analyses, self.groups)
 
+    @cached_property
+    def gate_trace(self) -> DataFrame:
+        """Positive counts at every gate of the relevance rules, and where a species failed."""
+        d = self.design
+        return relevance.gate_trace(
+            self.profile, self.candidate_strata, d.min_observation, d.min_stratum, d.min_cycle
+        )
+
+    @cached_property
+    def statuses(self) -> DataFrame:
+        """All analyses of all species with their status.
+
+        ``insufficient_data``: the species fails at a gate or was never found; ``not converged``: a
+        line of a linear analysis, or the family of any analysis, has no fit; else ``converged``.
+        """
+        wanted = lineage.analyses(self.source.species().select("species"), "species")
+        passed = self.gate_trace.filter(F.col("gate").isNull()).select("species", F.lit(True).alias("passed"))
+        fits = self.exact_lines.groupBy("species", "frequency").agg(F.min("converged").alias("lines"))
+        if self.design.family:
+            fitted = F.min(F.col("status") == "converged").alias("fitted")
+            fits = fits.join(
+                self.family_effects.filter("n > 0").groupBy("species", "frequency").agg(fitted), effects.SERIES
+            )
+        else:
+            fits = fits.withColumn("fitted", F.lit(True))
+        done = F.col("fitted") & (F.col("lines") | (F.col("type") != "linear"))
+        status = (
+            F.when(F.col("passed").isNull(), "insufficient_data").when(done, "converged").otherwise("not converged")
+        )
+        return wanted.join(passed, "species", "left").join(fits, effects.SERIES, "left").select(
+            *wanted.columns, status.alias("status")
+        )
+
     @cached_property
     def models(self) -> DataFrame:
-        family = dimensions.with_family(self.analyses, self.source.families())
+        family = dimensions.with_family(self.statuses, self.source.families())
         single = family.select(
             "analysis",
             F.col("species").cast("string").alias("speciesgroup"),
             lineage.model_text(
                 F.col("family"), F.col("frequency"), F.col("type"), F.lit(False)
             ).alias("model_type"),
+            "status",
         )
         grouped = lineage.analyses(self.groups.select("species_group").distinct(), "species_group")
         return single.unionByName(
@@ -400,8 +435,9 @@ class Survey:
                 lineage.model_text(
                     F.lit(None).cast("string"), F.col("frequency"), F.col("type"), F.lit(True)
                 ).alias("model_type"),
+                F.lit("converged").alias("status"),
             )
-        ).withColumn("status", F.lit("converged"))
+        )
 
     @cached_property
     def meta(self) -> DataFrame:
@@ -445,8 +481,9 @@ class Survey:
     @cached_property
     def overview(self) -> DataFrame:
         d = self.design
+        done = self.statuses.filter((F.col("status") == "converged") & (F.col("type") == "linear"))
         return reports.trend_overview(
-            self.linear_results,
+            self.linear_results.join(done.select(*effects.SERIES), effects.SERIES, "left_semi"),
             self.verdicts,
             reports.durations(self.effects),
             d.threshold,
