@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from statistics import NormalDist
 
 Z95 = 1.6448536269514722
 Z975 = 1.959963984540054
@@ -740,6 +741,22 @@ def oracle() -> dict[str, str]:
         SELECT *, (ucl - lcl) / (2 * {Z95}) AS sd FROM estimate_results),
         (VALUES (0.3::DOUBLE, 0.38532046640756773::DOUBLE), (0.6::DOUBLE, 0.8416212335729143::DOUBLE),
                 (0.9::DOUBLE, {Z95}::DOUBLE)) v(level, z))""")
+    levels = [i / 100 for i in range(1, 100)]
+    scores = ", ".join(f"({v}::DOUBLE, {NormalDist().inv_cdf((1 + v) / 2)}::DOUBLE)" for v in levels)
+    sql["interval_levels"] = s(f"""SELECT species, frequency, label, level,
+        round(estimate - z * sd, 9) AS lcl, round(estimate + z * sd, 9) AS ucl
+      FROM (SELECT *, (ucl - lcl) / (2 * {Z95}) AS sd FROM estimate_results)
+      CROSS JOIN (VALUES {scores}) v(level, z)""")
+    sql["composite_order"] = s("""SELECT species, label, CAST(dense_rank() OVER (PARTITION BY species
+        ORDER BY CASE WHEN TRY_CAST(label AS DOUBLE) IS NULL THEN 1 ELSE 0 END, TRY_CAST(label AS DOUBLE), label)
+        AS INTEGER) AS place
+      FROM (SELECT species, unnest([replace(species_group, 'Size ', ''), species_group]) AS label
+        FROM groups WHERE species_group LIKE 'Size %')""")
+    sql["table_diff"] = s("""SELECT species, year, count(*) FILTER (o) AS old_rows, count(*) AS new_rows,
+        CASE WHEN count(*) FILTER (o) = 0 THEN 'added' WHEN bool_and(o) THEN 'same' ELSE 'changed' END AS change,
+        0::BIGINT AS rows_gone, count(*) FILTER (NOT o) AS rows_new
+      FROM (SELECT c.species, c.year, v.start_date <= TIMESTAMP '1997-06-15' AS o
+        FROM all_counts c JOIN valid v USING (sample_id)) GROUP BY species, year""")
     sql["index_steps"] = s(f"""SELECT species, frequency, reference, alternative, estimate, effect_class,
         printf('%d-%d', alternative, reference) AS key, round((ucl - lcl) / (2 * {Z95}), 6) AS sd,
         round(alternative + side * CASE WHEN frequency = 'cycle' THEN 1.49999 ELSE 0.49999 END::DOUBLE, 5) AS x

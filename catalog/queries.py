@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -564,6 +565,30 @@ def fan_bands(spark, folder):
     return rounded(bands, keys, "sd", "band_lcl", "band_ucl")
 
 
+def interval_levels(spark, folder):
+    """At every percent from 1 to 99."""
+    levels = F.transform(F.sequence(F.lit(1), F.lit(99)), lambda i: i / 100)
+    found = intervals.interval_levels(survey(spark, folder).estimate_results, levels)
+    return rounded(found, ["species", "frequency", "label", "level"], "lcl", "ucl", digits=9)
+
+
+def composite_order(spark, folder):
+    """Labels of all members of a group, sizes and names of species in one order."""
+    sv = survey(spark, folder)
+    sizes = sv.groups.filter("species_group LIKE 'Size %'")
+    number = F.regexp_replace("species_group", "^Size ", "")
+    labels = sizes.select("species", F.explode(F.array(number, "species_group")).alias("label"))
+    return reports.numbers_first(labels, "label", ["species"])
+
+
+def table_diff(spark, folder):
+    """Counts until the summer of 1997 against all counts, by species and year."""
+    new = survey(spark, folder)
+    old = survey(spark, folder, end_date=datetime(1997, 6, 15))
+    columns = ["species", "sample_id", "year", "count"]
+    return lineage.table_diff(old.counts.select(*columns), new.counts.select(*columns), ["species", "year"], columns)
+
+
 def index_steps(spark, folder):
     steps = intervals.index_steps(_matrix(survey(spark, folder)))
     keys = ["species", "frequency", "reference", "alternative", "estimate", "effect_class", "key"]
@@ -672,6 +697,9 @@ QUERIES: dict[str, Query] = {
         mirror_pairs,
         pair_matrix,
         fan_bands,
+        interval_levels,
+        composite_order,
+        table_diff,
         index_steps,
         index_vs_first,
         drop_incomplete_cycle,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrid.functions.effects import class_label, classify
-from tallygrid.functions.intervals import Z95, Z975, interval_sd, interval_text, rescaled
+from tallygrid.functions.intervals import Z95, Z975, interval_sd, interval_text, normal_quantile, rescaled
 from tallygrid.functions.names import cycle_period_label
 
 
@@ -103,6 +103,18 @@ def fan_bands(df: DataFrame, levels: Sequence[float] = (0.3, 0.6, 0.9)) -> DataF
     )
 
 
+def interval_levels(df: DataFrame, levels: Column) -> DataFrame:
+    """Limits of every 90 % interval at each of the levels, an array per row of numbers in (0, 1)."""
+    sd, upper = F.col("sd"), (1 + F.col("level")) / 2
+    return (
+        df.withColumn("sd", interval_sd(F.col("lcl"), F.col("ucl")))
+        .withColumn("level", F.explode(levels))
+        .drop("lcl", "ucl")
+        .withColumn("lcl", normal_quantile(1 - upper, F.col("estimate"), sd))
+        .withColumn("ucl", normal_quantile(upper, F.col("estimate"), sd))
+    )
+
+
 def index_steps(pairs: DataFrame, cycle_len: int = 3) -> DataFrame:
     """Left, middle and right end of the step that a comparison covers on a time axis."""
     half = F.when(F.col("frequency") == "cycle", cycle_len / 2 - 0.00001).otherwise(0.49999)

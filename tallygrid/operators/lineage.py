@@ -125,6 +125,53 @@ def table_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def partition_fingerprints(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows and digest per partition of a table. Digests add up, so that of a table is the sum of them."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), digest_sum(columns).alias("digest"))
+
+
+def fingerprint_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """What became of every partition: ``added``, ``removed``, ``changed`` or ``same``."""
+    before = old.select(*keys, F.col("n_rows").alias("old_rows"), F.col("digest").alias("_old"))
+    after = new.select(*keys, F.col("n_rows").alias("new_rows"), F.col("digest").alias("_new"))
+    change = (
+        F.when(F.col("_old").isNull(), "added")
+        .when(F.col("_new").isNull(), "removed")
+        .when((F.col("_old") == F.col("_new")) & (F.col("old_rows") == F.col("new_rows")), "same")
+        .otherwise("changed")
+    )
+    return before.join(after, keys, "full").select(
+        *keys,
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("old_rows", "new_rows")],
+        change.alias("change"),
+    )
+
+
+def table_diff(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """What differs between two versions of a table: partitions by their digests, rows within them.
+
+    Only partitions with different digests are read row by row: equal ones need no second look.
+    ``rows_gone`` and ``rows_new`` count rows with their repetitions. Keys are not NULL.
+    """
+    parts = fingerprint_diff(
+        partition_fingerprints(old, keys, columns), partition_fingerprints(new, keys, columns), keys
+    )
+    touched = parts.filter(F.col("change") != "same").select(*keys)
+    signed = [
+        df.join(touched, keys, "left_semi").select(*keys, *[c for c in columns if c not in keys], F.lit(sign).alias("_sign"))
+        for df, sign in ((old, -1), (new, 1))
+    ]
+    every = list(dict.fromkeys([*keys, *columns]))
+    left = signed[0].unionByName(signed[1]).groupBy(*every).agg(F.sum("_sign").alias("_more"))
+    counted = left.groupBy(*keys).agg(
+        F.sum(F.greatest(-F.col("_more"), F.lit(0))).alias("rows_gone"),
+        F.sum(F.greatest(F.col("_more"), F.lit(0))).alias("rows_new"),
+    )
+    return parts.join(counted, keys, "left").withColumns(
+        {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("rows_gone", "rows_new")}
+    )
+
+
 def analysis_fingerprint(definition: DataFrame, data: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Fingerprint of a definition and the data it is applied to, per analysis."""
     digests = data.groupBy(*keys).agg(digest_sum(columns).alias("data_digest"))

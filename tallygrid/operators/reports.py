@@ -205,6 +205,19 @@ def export_index(
     )
 
 
+def numbers_first(df: DataFrame, column: str, keys: list[str] | None = None, place: str = "place") -> DataFrame:
+    """Number labels within their keys: those that are numbers by value, then the others as texts.
+
+    Equal labels have equal places without gaps; a NULL comes last. Keys without rows beyond memory
+    are the caller's: a window over one partition numbers the labels of a group, not of a table.
+    """
+    number = F.col(column).cast("string").try_cast("double")
+    order = Window.partitionBy(*(keys or [])).orderBy(
+        number.isNull(), F.col(column).isNull(), number, F.col(column).cast("string")
+    )
+    return df.withColumn(place, F.dense_rank().over(order))
+
+
 def export_composite_members(members: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Species of every composite with its class bounds."""
     return (

@@ -28,6 +28,19 @@ from tallygrid.operators.contrasts import parse_names
 from tallygrid.operators.samples import PERIOD_STARTS, SEASON
 
 
+def test_normal_score_at_any_probability(spark):
+    from statistics import NormalDist
+
+    from tallygrid.functions.intervals import normal_score
+
+    inner = [1e-300, 1e-20, 1e-9, 0.001, 0.0249, 0.075, 0.076, 0.3, 0.5, 0.7, 0.925, 0.9999999, 1 - 1e-15]
+    rows = spark.createDataFrame([(p,) for p in [*inner, 0.0, 1.0, -1.0, None]], "p double")
+    got = {r["p"]: r["z"] for r in rows.select("p", normal_score(F.col("p")).alias("z")).collect()}
+    for p in inner:
+        assert got[p] == pytest.approx(NormalDist().inv_cdf(p), rel=1e-12, abs=1e-14)
+    assert got[0.0] is got[1.0] is got[-1.0] is got[None] is None
+
+
 def test_season_edges(spark):
     d = datetime.datetime
     rows = [
