@@ -529,6 +529,45 @@ SQUARE_LINES = f"""SELECT species, frequency, square, t, label, n, c, imputed, {
 FROM ({_fill('square_grid', 'species, frequency, square')})"""
 
 
+def _adjusted_effects(rounds: int = 80) -> str:
+    """Proportional fitting written out: places, then levels, then periods, round by round."""
+    line = "species, frequency, stratum, label"
+    parts = [f"""crossed AS MATERIALIZED (SELECT species, f.frequency, stratum, square,
+        CAST(CASE f.frequency WHEN 'year' THEN year ELSE {BASE} + 3 * ({_cycle('year')} - 1) END AS INTEGER) AS label,
+        CASE WHEN periods > 1 THEN period ELSE 0 END AS period, count(*) AS n, sum(count)::DOUBLE AS c
+      FROM relevant JOIN (SELECT species, count(DISTINCT period) AS periods FROM relevant GROUP BY species) USING (species),
+        (VALUES ('year'), ('cycle')) f(frequency) GROUP BY ALL)""",
+      f"a0 AS MATERIALIZED (SELECT {line}, sum(c) / sum(n) AS a FROM crossed GROUP BY ALL)",
+      "p0 AS MATERIALIZED (SELECT DISTINCT species, frequency, period, 1::DOUBLE AS p FROM crossed)"]
+    for i in range(1, rounds + 1):
+        j = i - 1
+        parts += [
+            f"""s{i} AS MATERIALIZED (SELECT species, frequency, stratum, square,
+              CASE WHEN sum(n * a * p) > 0 THEN sum(c) / sum(n * a * p) ELSE 0 END AS s
+              FROM crossed JOIN a{j} USING ({line}) JOIN p{j} USING (species, frequency, period) GROUP BY ALL)""",
+            f"""w{i} AS MATERIALIZED (SELECT {line}, period, sum(n * s) AS w, sum(c) AS c
+              FROM crossed JOIN s{i} USING (species, frequency, stratum, square) GROUP BY ALL)""",
+            f"""a{i} AS MATERIALIZED (SELECT {line}, CASE WHEN sum(w * p) > 0 THEN sum(c) / sum(w * p) ELSE 0 END AS a
+              FROM w{i} JOIN p{j} USING (species, frequency, period) GROUP BY ALL)""",
+            f"""p{i} AS MATERIALIZED (SELECT species, frequency, period,
+              CASE WHEN sum(w * a) > 0 THEN sum(c) / sum(w * a) ELSE 0 END AS p
+              FROM w{i} JOIN a{i} USING ({line}) GROUP BY ALL)""",
+        ]
+    k = rounds
+    tail = f"""SELECT {line}, n, CAST(c AS BIGINT) AS c, true AS converged,
+      round(ln(CASE WHEN c > 0 THEN a * mean_s * mean_p ELSE 0.5::DOUBLE / n END), 5) + 0::DOUBLE AS b,
+      round(1 / CASE WHEN c > 0 THEN c ELSE 0.5::DOUBLE END, 5) AS var
+    FROM (SELECT {line}, CAST(sum(n) AS BIGINT) AS n, sum(c) AS c FROM crossed GROUP BY ALL)
+    JOIN a{k} USING ({line})
+    JOIN (SELECT species, frequency, stratum, sum(n * s) / sum(n) AS mean_s
+      FROM crossed JOIN s{k} USING (species, frequency, stratum, square) GROUP BY ALL) USING (species, frequency, stratum)
+    JOIN (SELECT species, frequency, sum(n * p) / sum(n) AS mean_p
+      FROM crossed JOIN p{k} USING (species, frequency, period) GROUP BY ALL) USING (species, frequency)"""
+    base = statement("SELECT * FROM relevant")
+    head = base[: base.rindex("\nSELECT * FROM relevant")]
+    return f"{head},\n" + ",\n".join(parts) + f"\n{tail}"
+
+
 def oracle() -> dict[str, str]:
     s = statement
     sql: dict[str, str] = {}
@@ -674,6 +713,7 @@ def oracle() -> dict[str, str]:
     sql["linear_estimate"] = s(f"SELECT species, frequency, t, label, {four} FROM linear_levels")
     sql["exact_lines"] = s(f"""SELECT species, frequency, stratum, {_six('alpha', 'beta')},
         round(var_beta, 8) AS var_beta, converged FROM best_lines""")
+    sql["adjusted_effects"] = _adjusted_effects()
     own = "species, frequency, stratum, t, label, n, c, imputed"
     sql["smoothed_effects"] = s(f"SELECT {own}, {_six('b', 'var', 'tau2', 'gain')} FROM walk", stratum="n_name")
     sql["contrast_variances"] = s(f"""SELECT species, frequency, kind, name, {four} FROM (SELECT *, {_limits()} FROM (

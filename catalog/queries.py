@@ -438,6 +438,11 @@ def exact_lines(spark, folder):
     return rounded(fits, ["species", "frequency", "stratum", "var_beta", "converged"], "alpha", "beta")
 
 
+def adjusted_effects(spark, folder):
+    keys = ["species", "frequency", "stratum", "label", "n", "c", "converged"]
+    return rounded(survey(spark, folder, places="square").adjusted_effects, keys, "b", "var", digits=5)
+
+
 def smoothed_effects(spark, folder):
     """With the nations as strata, where some time steps have no visits."""
     keys = ["species", "frequency", "stratum", "t", "label", "n", "c", "imputed"]
@@ -677,6 +682,7 @@ QUERIES: dict[str, Query] = {
         linear_trend_overdispersed,
         linear_estimate_overdispersed,
         exact_lines,
+        adjusted_effects,
         smoothed_effects,
         contrast_variances,
         contrast_table,

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tallygrid import session
 from tallygrid.operators import (
+    adjusted,
     composite,
     contrasts,
     dimensions,
@@ -63,6 +64,8 @@ class SurveyDesign:
     cycle_windows: Sequence[int] = contrasts.CYCLE_WINDOWS
     # None: Poisson for all; "given": the family of the source; "chosen": what the counts show
     family: str | None = None
+    # places of the adjusted effects: "point", "square", or "design" for what a species needs
+    places: str = "design"
     overdispersion: bool = False
     exact_lines: bool = False
     line_steps: int = 50  # of the scoring of a line; one that needs more has not converged
@@ -288,6 +291,17 @@ class Survey:
 
         return self.stage("effects", build)
 
+    @cached_property
+    def adjusted_effects(self) -> DataFrame:
+        """Levels adjusted for places and periods, by the terms that the design of a species asks for."""
+        d = self.design
+
+        def build() -> DataFrame:
+            cells = adjusted.place_cells(self.relevant, self.design_choice, d.base_year, d.cycle_len, d.places)
+            return adjusted.adjusted_effects(cells, self.staging)
+
+        return self.stage("adjusted_effects", build)
+
     @cached_property
     def smoothed_effects(self) -> DataFrame:
         """The effects as random walks, with what neighbouring time steps share."""
