@@ -310,7 +310,7 @@ EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
 def components(edges: DataFrame, staging: Staging) -> DataFrame:
-    """node and root (smallest node) of every node with an edge u > v."""
+    """node and root (smallest node) of every node with an edge u > v, but the roots themselves."""
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("u"), F.bit_xor(F.xxhash64("u", "v"))).first())
@@ -352,6 +352,8 @@ def near_duplicates(
     found = classes.select("fp")
     layout = plan_layout(found, distance)
     roots = components(links(found, layout, staging, distance, block), staging)
+    # The roots are members as well.
+    roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     # A component may hold a third of all rows: it is split by fingerprint on the way back as well.
     split = F.pmod(F.xxhash64("node"), F.lit(partitions(docs.sparkSession))).cast("int").alias("split")
     linked = staging.write(
