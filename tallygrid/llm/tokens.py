@@ -121,16 +121,17 @@ class Tokens:
         """Keep what was met first, as common words are."""
         known, new = self._known, self._known.new
         known.new = []
-        before = len(known) - len(new)
-        for keep, word in enumerate(new):
-            if before + keep >= REMEMBERED or self._held + len(word) > REMEMBERED_BYTES:
+        n = len(known) - len(new)
+        for word in new:
+            if n >= REMEMBERED or self._held + len(word) > REMEMBERED_BYTES:
                 break
             self._held += len(word)
-        else:
+            n += 1
+        n = min(n, max(1, REMEMBERED))
+        if n == len(known):
             return
-        for word in new[keep:]:
+        for word in [*known][n:]:
             del known[word]
-        n = len(known)
         self._begin, self._size = self._begin[:n].copy(), self._size[:n].copy()
         self._ids = self._ids[: self._begin[-1] + self._size[-1]].copy()
 
