@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.spans import Span, count, listed, masked, scan
+from tallygrid.llm.spans import Span, Taken, count, listed, masked, scan
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn", "account")
@@ -160,7 +160,7 @@ def find(text: str) -> list[Span]:
     if "+" in text:
         found += [("phone", a, b) for a, b in _matches(PHONE, text, _phone)]
     out = [(k, a, b, _score(text, k, a, b, k == "card"), True) for k, a, b in found]
-    taken = sorted((a, b) for _, a, b in found)
+    taken = Taken((a, b) for _, a, b in found)
     out += [("iban", a, b, _score(text, "iban", a, b, True), False) for a, b in _ibans(text)]
     for kind, pattern, check in (
         ("ssn", SSN, lambda _: True),
@@ -168,7 +168,7 @@ def find(text: str) -> list[Span]:
     ):
         for a, b in _matches(pattern, text, check):
             score = _score(text, kind, a, b, kind != "ssn")
-            if score >= THRESHOLD and not any(x < b and a < y for x, y in taken):
+            if score >= THRESHOLD and not taken.meets(a, b):
                 out.append((kind, a, b, score, False))
     return out
 

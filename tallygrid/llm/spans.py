@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,35 @@ _ARROW = pa.list_(
 _NAMES = ("kind", "start", "end", "score", "base")
 
 
+class Taken:
+    """Parts of a text that spans cover; each question takes a search in the sorted parts."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, start: int, end: int) -> bool:
+        i = bisect_right(self.ends, start)
+        return i < len(self.starts) and self.starts[i] < end
+
+    def gaps(self, start: int, end: int) -> Iterator[tuple[int, int]]:
+        """What of a stretch is not covered."""
+        i = bisect_right(self.ends, start)
+        while i < len(self.starts) and self.starts[i] < end:
+            if start < self.starts[i]:
+                yield start, self.starts[i]
+            start = self.ends[i]
+            i += 1
+        if start < end:
+            yield start, end
+
+
 def scan(docs: DataFrame, find: Callable[[str], list[Span]]) -> DataFrame:
     """doc_id and the spans that ``find`` gives for the whole text; null texts count as empty."""
 

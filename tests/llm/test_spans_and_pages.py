@@ -3,13 +3,18 @@
 import hashlib
 import random
 import re
+import string
+import time
 import zlib
 from collections import Counter
 from math import log2
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from tallygrid.llm import html, idcoder, pii, secrets, warc
+from tallygrid.llm.spans import Taken
 from tallygrid.staging import Staging
 
 from .fixtures import corpus, frame
@@ -105,6 +110,82 @@ def test_scanners_take_linear_time():
         secrets.find(t + "=")
 
 
+@pytest.mark.parametrize(
+    ("module", "piece"),
+    [
+        (pii, "a%d@b.org account 4111 1111 1111 1111 her ssn is 123-45-6789 "),
+        (secrets, "password=hunter%d Zx81kq0PvB7mT3nR5wYc9LdA2%d "),
+    ],
+)
+def test_scanners_take_linear_time_in_their_spans(module, piece):
+    def seconds(n):
+        text = "".join(piece.replace("%d", str(i)) for i in range(n))
+        start = time.process_time()
+        assert len(module.find(text)) >= n
+        return time.process_time() - start
+
+    once = min(seconds(4000) for _ in range(2))
+    assert min(seconds(16000) for _ in range(2)) < 9 * once
+
+
+@given(
+    st.lists(st.tuples(st.integers(0, 30), st.integers(1, 6)), max_size=8),
+    st.integers(0, 30),
+    st.integers(1, 10),
+)
+def test_taken_parts_match_a_plain_version(spans, start, length):
+    spans = [(a, a + n) for a, n in spans]
+    covered = {i for a, b in spans for i in range(a, b)}
+    taken, stretch = Taken(spans), range(start, start + length)
+    assert taken.meets(start, start + length) == any(i in covered for i in stretch)
+    left = [i for a, b in taken.gaps(start, start + length) for i in range(a, b)]
+    assert left == [i for i in stretch if i not in covered]
+
+
+@pytest.mark.parametrize(
+    ("letters", "length", "before"),
+    [
+        (string.ascii_letters, 32, ""),
+        (string.ascii_letters + string.digits, 32, ""),
+        (string.ascii_letters + string.digits, 40, "/sample/"),
+        (string.ascii_lowercase + string.digits, 32, ""),
+        ("0123456789ABCDEF", 32, ""),
+        (string.ascii_letters + string.digits + "+/", 40, "io/example/key="),
+    ],
+)
+def test_keys_of_every_class_are_found(letters, length, before):
+    rng, found = random.Random(length), 0
+    for _ in range(500):
+        key = "".join(rng.choices(letters, k=length))
+        text = f"see {before}{key} here"
+        start = text.index(key)
+        found += any(min(b, start + length) - max(a, start) > length / 2 for _, a, b, *_ in secrets.find(text))
+    assert found >= 450
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "InternationalizationServiceFactory2Implementation",
+        "src/main/java/com/Acme3/FooBarBazQuxFactory",
+        "550e8400-e29b-41d4-a716-446655440000",
+        "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+        "2024-01-02/how-to-bake-10-cakes",
+        "Donaudampfschifffahrtsgesellschaft",
+    ],
+)
+def test_words_and_examples_are_no_keys(text):
+    assert secrets.find(text) == []
+
+
+def test_a_key_beside_a_base_span_is_kept():
+    key = "Zx81kq0PvB7mT3nR5wYc9LdA2"
+    text = f"{key}/password=hunter22"
+    assert {(k, text[a:b].strip("/")) for k, a, b, *_ in secrets.find(text)} == {
+        ("entropy", key), ("assign", "password=hunter22")
+    }
+
+
 # --- pages
 
 
