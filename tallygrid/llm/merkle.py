@@ -1,12 +1,14 @@
 """Document fingerprints: a Merkle tree over pieces, paragraphs and sections.
 
-Paragraphs are lines. A paragraph is cut into pieces after punctuation and after some word
-ends, so cuts depend on the text beside them and an edit moves no cut elsewhere. The hash of a
-paragraph is over those of its pieces; a section ends after a paragraph whose hash starts with
-one of four digits and its hash is over those of its paragraphs; the root is over the sections.
-Nothing is thrown away by the cuts, so equal roots mean equal texts.
-
-A fingerprint is written as root, a colon, and the hashes of the pieces with a full stop between
+Paragraphs are lines. A paragraph is cut into pieces after punctuation of any script and after some
+word ends; in scripts written without blanks after some characters, chosen by their code points.
+Such cuts depend on the text beside them, so an edit moves no cut elsewhere. Only what has none of
+them for 512 characters is cut there. The hash of a paragraph is over those of its pieces; a section
+ends after a paragraph whose hash starts with one of four digits and its hash is over those of its
+paragraphs; the root is over the sections. All of them are whole SHA-256 digests and nothing is
+thrown away by the cuts, so equal roots mean equal texts.
+
+A fingerprint is written as root, a colon, and the first digits of the hashes of the pieces with a full stop between
 pieces, a semicolon between paragraphs and a slash between sections. Two fingerprints are equal
 or are compared branch by branch: their likeness is twice the number of different pieces in both
 over the sum of the different pieces of each, and the first unequal piece locates an edit.
@@ -27,16 +29,23 @@ from pyspark.sql.window import Window
 from tallygrid.llm.common import LOWEST, boundaries, bucket_of, partitions
 
 PARAGRAPH = r"(?<=\n)"
-PIECE = r"(?<=[.!?,;:|%#&*$ns] )"
+LONGEST = 512
+#: every sixteenth character of the scripts between Thai and Hangul, in blocks of four
+SPACELESS = "".join(
+    f"\\u{low:04X}-\\u{low + 3:04X}"
+    for first, last in ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF))
+    for low in range(first, last, 64)
+) + "".join(f"\\u{low:04X}-\\u{low + 63:04X}" for low in range(0x3400, 0xD7A0, 1024))
+PIECE = (
+    r"(?<=[.!?,;:|%#&*$ns] )"
+    r"|(?<=[^\x00-\x7F])(?:(?<=[。，、！？；：．｡।॥۔؟،؛።፣])|(?<=[" + SPACELESS + r"]))"
+    r"|(?<=[^\x00-\x7F] )"
+    rf"|(?<=\G[\s\S]{{{LONGEST}}})"
+)
 PIECE_DIGITS = 8
-NODE_DIGITS = 16
 SECTION_ENDS = "0123"
 
 
-def _digest(text: Column, digits: int) -> Column:
-    return F.left(F.sha2(text, 256), F.lit(digits))
-
-
 def pieces(text: Column) -> Column:
     """Array of paragraphs, each an array of pieces; joined they are the text."""
     return F.transform(F.split(text, PARAGRAPH), lambda p: F.split(p, PIECE))
@@ -47,15 +56,9 @@ def fingerprinted(df: DataFrame, text: str, name: str) -> DataFrame:
     leaves, nodes, ends = f"_{name}_leaves", f"_{name}_nodes", f"_{name}_ends"
     columns = df.columns
     df = df.withColumn(
-        leaves,
-        F.transform(
-            F.split(F.col(text), PARAGRAPH),
-            lambda p: F.concat_ws(
-                ".", F.transform(F.split(p, PIECE), lambda x: _digest(x, PIECE_DIGITS))
-            ),
-        ),
+        leaves, F.transform(pieces(F.col(text)), lambda p: F.transform(p, lambda x: F.sha2(x, 256)))
     )
-    df = df.withColumn(nodes, F.transform(F.col(leaves), lambda p: _digest(p, NODE_DIGITS)))
+    df = df.withColumn(nodes, F.transform(F.col(leaves), lambda p: F.sha2(F.array_join(p, "."), 256)))
     df = df.withColumn(
         ends,
         F.transform(
@@ -65,7 +68,10 @@ def fingerprinted(df: DataFrame, text: str, name: str) -> DataFrame:
     )
     sections = F.split(F.array_join(F.zip_with(nodes, ends, lambda h, e: F.concat(h, e)), ""), "/")
     root = F.sha2(F.array_join(F.transform(sections, lambda s: F.sha2(s, 256)), ","), 256)
-    body = F.array_join(F.zip_with(leaves, ends, lambda p, e: F.concat(p, e)), "")
+    printed = F.transform(
+        leaves, lambda p: F.array_join(F.transform(p, lambda x: F.left(x, F.lit(PIECE_DIGITS))), ".")
+    )
+    body = F.array_join(F.zip_with(printed, ends, lambda p, e: F.concat(p, e)), "")
     return df.select(*columns, F.concat(root, F.lit(":"), body).alias(name))
 
 

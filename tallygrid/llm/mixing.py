@@ -186,6 +186,18 @@ def _settle_pairs(docs: Column) -> Column:
     return F.aggregate(docs, start, step)
 
 
+def _numbered(rows: DataFrame, block: int = 4096) -> DataFrame:
+    """Rows with the number of each among its equals (``_copy``), so that they part when hashed.
+
+    Equal rows are counted before the exchange and told apart again in blocks, never gathered.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_times"))
+    first = F.sequence(F.lit(0).cast("long"), F.col("_times") - 1, F.lit(block).cast("long"))
+    blocks = counted.withColumn("_first", F.explode(first))
+    last = F.least(F.col("_first") + (block - 1), F.col("_times") - 1)
+    return blocks.withColumn("_copy", F.explode(F.sequence("_first", last))).drop("_first", "_times")
+
+
 def mix(
     docs: DataFrame,
     staging: Staging,
@@ -213,7 +225,7 @@ def mix(
         .withColumn("_chance", F.greatest(F.lit(0.0), F.col("_ratio") - F.col("_sure")))
     )
     chunk = F.pmod(
-        F.xxhash64("doc_id", "_text", F.lit(seed)),
+        F.xxhash64("doc_id", "_text", "_copy", F.lit(seed)),
         F.greatest(F.lit(1), F.ceil(F.col("filled") / F.lit(fan_in))),
     )
     doc = F.struct(
@@ -221,10 +233,10 @@ def mix(
         F.col("doc_id"),
         F.col("_text"),
         F.col("size").cast("double").alias("size"),
-        uniform("doc_id", "_text", F.lit(seed + 1)).alias("u"),
+        uniform("doc_id", "_text", "_copy", F.lit(seed + 1)).alias("u"),
     )
     chunks = (
-        joined.where(F.col("size") > 0)
+        _numbered(joined.where(F.col("size") > 0))
         .withColumn("chunk", chunk)
         .groupBy("source", "chunk")
         .agg(
@@ -337,9 +349,24 @@ def mixed(docs: DataFrame, staging: Staging, **options) -> DataFrame:
     key, own, nth, named, text, copies, times, each = free(
         docs, "_key", "_own", "_nth", "_named", "_plan", "_copies", "_times", "_each"
     )
-    plan = plan.groupBy(
-        F.coalesce("doc_id", F.lit(LOWEST)).alias(named), F.col("_text").alias(text)
-    ).agg(F.sort_array(F.collect_list("copies")).alias(copies))
+    # Few numbers of copies occur, so equal rows are a short list of how often each does.
+    plan = (
+        plan.groupBy(
+            F.coalesce("doc_id", F.lit(LOWEST)).alias(named), F.col("_text").alias(text), "copies"
+        )
+        .agg(F.count(F.lit(1)).alias(times))
+        .groupBy(named, text)
+        .agg(F.sort_array(F.collect_list(F.struct("copies", F.col(times).alias("n")))).alias(copies))
+    )
+
+    def copies_of(state: Column, some: Column) -> Column:
+        mine = (state["left"] > 0) & (state["left"] <= some["n"])
+        return F.struct(
+            (state["left"] - some["n"]).alias("left"),
+            F.when(mine, some["copies"]).otherwise(state["copies"]).alias("copies"),
+        )
+
+    start = F.struct(F.col(nth).cast("long").alias("left"), F.lit(0).cast("long").alias("copies"))
     # Numbering and join use the same two columns without nulls, so the texts move once.
     same = Window.partitionBy(key, own).orderBy(key)
     return (
@@ -347,7 +374,7 @@ def mixed(docs: DataFrame, staging: Staging, **options) -> DataFrame:
         .withColumn(own, F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))))
         .withColumn(nth, F.row_number().over(same))
         .join(plan, (F.col(key) == F.col(named)) & (F.col(own) == F.col(text)))
-        .withColumn(times, F.get(copies, F.col(nth) - 1).cast("int"))
+        .withColumn(times, F.aggregate(copies, start, copies_of)["copies"].cast("int"))
         .where(F.col(times) > 0)
         .withColumn(each, F.explode(F.sequence(F.lit(1), F.col(times))))
         .select(*[F.col(f"`{c}`") for c in docs.columns])

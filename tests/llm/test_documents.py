@@ -1,6 +1,7 @@
 """Operators on documents against brute force, on odd rows and on empty tables."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,6 +10,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from tallygrid.llm import decontamination, merkle, mixing, quality, simhash, tokens
 from tallygrid.staging import Staging
 
@@ -186,6 +189,32 @@ def test_merkle_locates_an_edit(spark):
     assert df.select(merkle.first_difference(a, a)).first()[0] is None
 
 
+def test_merkle_keeps_full_digests_in_the_tree(spark, monkeypatch):
+    texts = [("one, two. three\nfour",), ("one, two. three\nfive",), ("",), ("\n",)]
+    df = spark.createDataFrame(texts, "a string")
+    prints = [r[0] for r in merkle.fingerprinted(df, "a", "f").select("f").collect()]
+    monkeypatch.setattr(merkle, "PIECE_DIGITS", 0)
+    short = [r[0] for r in merkle.fingerprinted(df, "a", "f").select("f").collect()]
+    assert [p.split(":")[0] for p in short] == [p.split(":")[0] for p in prints]
+    assert len({p.split(":")[0] for p in short}) == 4
+
+
+@pytest.mark.parametrize(
+    "letters",
+    ["".join(map(chr, range(0x4E00, 0x5E00))), "".join(map(chr, range(0x430, 0x450))) + "   ", "กขคงจฉชซณดตถทธนบปผฝพ", "x", "\U00020000"],
+    ids=["han", "cyrillic", "thai", "one letter", "beyond the first plane"],
+)
+def test_merkle_likeness_in_any_script(spark, letters):
+    rng = random.Random(8)
+    a, b = ("".join(rng.choices(letters, k=6000)) for _ in range(2))
+    edited = a[:3000] + b[:3000]
+    df = spark.createDataFrame([(a, edited)], "a string, b string")
+    whole = df.select(F.array_join(F.flatten(merkle.pieces(F.col("a"))), "") == df.a, merkle.pieces(F.col("a"))).first()
+    assert whole[0] and all(0 < len(p) <= merkle.LONGEST for line in whole[1] for p in line)
+    df = merkle.fingerprinted(merkle.fingerprinted(df, "a", "fa"), "b", "fb")
+    assert df.select(merkle.likeness(df.fa, df.fb)).scalar() >= 0.3
+
+
 def test_merkle_of_one_and_no_row(spark, none):
     assert merkle.merkle_table(none).count() == 0
     one = merkle.merkle_table(frame(spark, [row(1, "abcd")])).first()
@@ -362,3 +391,23 @@ def test_log_ratio_is_that_of_the_models(spark):
     raw = np.bincount(np.concatenate(list(texts.values())), minlength=quality.BUCKETS) + 1.0
     target = np.bincount(texts[1], minlength=quality.BUCKETS) + 1.0
     assert ratios == pytest.approx(np.log(target / target.sum() * raw.sum() / raw))
+
+
+def test_many_equal_rows_are_parted(spark):
+    rows = [row(None, "a b c", "a")] * 3000 + [row(7, "d", "b")] * 40 + [row(i, "e f", "b") for i in range(300)]
+    df = frame(spark, rows)
+    staging = Staging(spark)
+    got = mixing.mix(df, staging, fan_in=64).collect()
+    assert Counter((r.doc_id, r.size) for r in got) == Counter((r[0], len(r[1].split())) for r in rows)
+    taken = Counter()
+    for r in got:
+        taken[r.source] += r.copies * r.size
+        assert 0 <= r.copies <= 3
+    for source, target in {r.source: r.target for r in got}.items():
+        assert abs(taken[source] - target) <= 3
+    leaves = spark.read.parquet(next(p for p in staging._paths if "/leaves-" in p))
+    assert leaves.select(F.max(F.size("docs"))).scalar() <= 130
+    mixed = mixing.mixed(df, Staging(spark), fan_in=64)
+    assert Counter(r.doc_id for r in mixed.collect()) == Counter(
+        {d: n for d in {r.doc_id for r in got} if (n := sum(r.copies for r in got if r.doc_id == d))}
+    )
