@@ -20,6 +20,9 @@ from __future__ import annotations
 import numpy as np
 
 SURE = 3  # largest value of a counter, in the lower two bits of a prediction
+#: What a counter from 0 to 3 gains: if its prediction was wrong, then if it was right. A wrong one
+#: below 2 gives way to the id.
+STEPS = np.array([0, 0, -1, -2, 1, 1, 1, 0], np.int32)
 HASH1, HASH2 = 8, 9  # bits of the tables of predictions
 WEIGHT, OFTEN = 16, 4  # sum of the two weights; they move at every fourth id
 RATE_A, RATE_B = 5, 4  # the tables of distributions move by 1/32 and 1/16 of the way
@@ -31,6 +34,7 @@ SYMBOL_BITS, ID_BITS = 12, 18
 SYMBOLS, IDS = 1 << SYMBOL_BITS, 1 << ID_BITS
 BITS = SYMBOL_BITS + ID_BITS
 NO_ID = 1 << 16  # stands for the id where a prediction was right
+OWN = (1 << 32) - 1  # the half of a number in the table of ids that has an own frequency
 # The width of the range is from 2**40 to 2**56; the range reaches up to 2**57.
 FLOOR, WIDEST = 1 << 40, 1 << 56
 
@@ -72,6 +76,9 @@ class _Models:
         row = np.arange(lanes)
         self.row1, self.row2 = row << HASH1, row << HASH2
         self.row_a, self.row_b = row << 5, row << 4
+        self.row_bounds = row
+        self.bounds = np.zeros((4, lanes), np.int64)
+        self.bounds[3] = SYMBOLS
         self.guess1 = np.zeros(lanes << HASH1, np.int32)
         self.guess2 = np.zeros(lanes << HASH2, np.int32)
         self.by_sure = np.tile(_at_first(), lanes)
@@ -82,50 +89,117 @@ class _Models:
         self.past = np.zeros(lanes, np.int64)
         self.weight = np.full(lanes, WEIGHT // 2, np.int64)
         self.seen = 0
+        # Every step writes to the same few arrays, which stay in the cache.
+        self.at1, self.at2, self.in_a, self.in_b = np.zeros((4, lanes), np.int64)
+        self.v1, self.v2, self.p1, self.p2, self.c1, self.c2 = np.zeros((6, lanes), np.int32)
+        self.a, self.b, self.more = np.zeros((3, lanes), np.int64)
+        self.long, self.long2, self.short = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64), np.zeros(lanes, np.int32)
 
     def predict(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of the mixed frequencies up to the first and up to the second symbol."""
-        hashed = self.last * np.int32(10007)
-        self.at1 = self.row1 + (hashed >> 3 & (1 << HASH1) - 1)
-        self.at2 = self.row2 + (hashed + self.mark >> 4 & (1 << HASH2) - 1)
-        self.mark = self.last * np.int32(3001)
-        self.v1, self.v2 = self.guess1.take(self.at1), self.guess2.take(self.at2)
-        self.p1, self.p2 = self.v1 >> 2, self.v2 >> 2
-        self.in_a = self.row_a + ((self.v2 & 3) << 3 | (self.v1 & 3) << 1 | (self.p1 == self.p2))
-        self.in_b = self.row_b + self.past
-        self.a, self.b = self.by_sure.take(self.in_a), self.by_past.take(self.in_b)
-        self.more = self.a - self.b
-        mixed = (self.more * self.weight + (self.b << 4) >> 4) & HALVES
-        scaled = mixed * (SYMBOLS - 3) >> 16
-        return (scaled & SYMBOLS - 1) + 1, (scaled >> 32) + 2
-
-    def update(self, ids: np.ndarray, held1: np.ndarray, held2: np.ndarray) -> None:
-        symbol = np.where(held2, 0, np.where(held1, 1, 2))
+        """Sums of the mixed frequencies up to the first and up to the second symbol.
+
+        They are rows of ``bounds``, which the next call overwrites as all that is kept here.
+        """
+        hashed, short = self.p1, self.short
+        np.multiply(self.last, np.int32(10007), out=hashed)
+        np.right_shift(hashed, 3, out=short)
+        short &= (1 << HASH1) - 1
+        np.add(self.row1, short, out=self.at1)
+        hashed += self.mark
+        hashed >>= 4
+        hashed &= (1 << HASH2) - 1
+        np.add(self.row2, hashed, out=self.at2)
+        np.multiply(self.last, np.int32(3001), out=self.mark)
+        # All places are within the tables; clipping is what writes to ``out`` without a copy.
+        for table, at, value, guess, counter in (
+            (self.guess1, self.at1, self.v1, self.p1, self.c1),
+            (self.guess2, self.at2, self.v2, self.p2, self.c2),
+        ):
+            table.take(at, out=value, mode="clip")
+            np.right_shift(value, 2, out=guess)
+            np.bitwise_and(value, SURE, out=counter)
+        np.left_shift(self.c2, 2, out=short)
+        short |= self.c1
+        short <<= 1
+        short |= self.p1 == self.p2
+        np.add(self.row_a, short, out=self.in_a)
+        np.add(self.row_b, self.past, out=self.in_b)
+        self.by_sure.take(self.in_a, out=self.a, mode="clip")
+        self.by_past.take(self.in_b, out=self.b, mode="clip")
+        np.subtract(self.a, self.b, out=self.more)
+        scaled = np.multiply(self.more, self.weight, out=self.long)
+        scaled += np.left_shift(self.b, 4, out=self.long2)
+        scaled >>= 4
+        scaled &= HALVES
+        scaled *= SYMBOLS - 3
+        scaled >>= 16
+        _, upto1, upto2, _ = self.bounds
+        np.bitwise_and(scaled, SYMBOLS - 1, out=upto1)
+        upto1 += 1
+        np.right_shift(scaled, 32, out=upto2)
+        upto2 += 2
+        return upto1, upto2
+
+    def span(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum of the mixed frequencies below each symbol, and its own."""
+        at = np.multiply(symbol, len(self.row_bounds), out=self.long)
+        at += self.row_bounds
+        lower = self.bounds.take(at)
+        at += len(self.row_bounds)
+        own = self.bounds.take(at)
+        own -= lower
+        return lower, own
+
+    def update(self, ids: np.ndarray, held1: np.ndarray, held2: np.ndarray, symbol: np.ndarray) -> None:
+        moved = self.long
         for table, rows, had, (rate, mask, steps) in (
             (self.by_sure, self.in_a, self.a, self.moves_a),
             (self.by_past, self.in_b, self.b, self.moves_b),
         ):
-            table[rows] = had - (had >> rate & mask) + steps.take(symbol)
+            np.right_shift(had, rate, out=moved)
+            moved &= mask
+            np.subtract(had, moved, out=moved)
+            moved += steps.take(symbol, out=self.long2, mode="clip")
+            table[rows] = moved
         self.seen += 1
         if self.seen % OFTEN == 0:
             upto1, upto2 = self.more << 32 >> 32, self.more >> 32
             gain = np.where(held2, upto1, np.where(held1, upto2 - upto1, -upto2))
             moved = self.weight + np.where(gain > 0, 1, -1)
             self.weight = np.minimum(np.maximum(moved, 1), WEIGHT - 1)
-        for table, rows, had, held in (
-            (self.guess1, self.at1, self.v1, held1),
-            (self.guess2, self.at2, self.v2, held2),
+        fresh = np.left_shift(ids, 2, out=self.short)
+        for table, rows, value, counter, held in (
+            (self.guess1, self.at1, self.v1, self.c1, held1),
+            (self.guess2, self.at2, self.v2, self.c2, held2),
         ):
-            doubted = np.where(had & 2, had & ~SURE | 1, ids << 2)
-            table[rows] = np.where(held, np.minimum(had + 1, had | SURE), doubted)
-        self.past = (self.past << 2 & 15) + symbol
+            doubted = counter < 2
+            doubted &= ~held
+            counter += np.multiply(held, np.int32(SURE + 1))
+            value += STEPS.take(counter)
+            np.copyto(value, fresh, where=doubted)
+            table[rows] = value
+        self.past <<= 2
+        self.past &= 15
+        self.past += symbol
         self.last = ids
 
 
-def _id_tables(order0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of the frequencies below each id, and its own; the whole range for ``NO_ID``."""
+def _id_table(order0: np.ndarray) -> np.ndarray:
+    """Sum of the frequencies below each id, and in the lower 32 bits its own; the whole range for ``NO_ID``."""
     below = np.concatenate(([0], np.cumsum(order0)[:-1], [0])).astype(np.int64)
-    return below, np.concatenate((order0, [IDS])).astype(np.int64)
+    return below << 32 | np.concatenate((order0, [IDS])).astype(np.int64)
+
+
+def _columns(ids: np.ndarray, lengths: list[int]) -> np.ndarray:
+    """A column per block; those that are shorter than the first repeat their last id."""
+    lanes, steps = len(lengths), max(lengths)
+    longer = lengths.count(steps)
+    out = np.empty((steps, lanes), np.int32)
+    out[:, :longer] = ids[: longer * steps].reshape(longer, steps).T
+    if longer < lanes:
+        out[: steps - 1, longer:] = ids[longer * steps :].reshape(lanes - longer, steps - 1).T
+        out[steps - 1, longer:] = out[steps - 2, longer:]
+    return out
 
 
 def block_lengths(n: int, block: int) -> list[int]:
@@ -139,47 +213,60 @@ def encode(ids: np.ndarray, lengths: list[int], order0: np.ndarray) -> list[byte
     ids = np.asarray(ids, np.int32)
     if len(ids) and (ids.min() < 0 or ids.max() >= 1 << 16):
         raise ValueError("ids must be from 0 to 65535")
-    lanes, steps = len(lengths), max(lengths)
-    ends = np.cumsum(lengths)
-    places = np.minimum((ends - lengths) + np.arange(steps)[:, None], ends - 1)
-    rows = ids.take(places)
-    # A step writes two words at most; the last two steps are what is left in the end.
-    words = np.zeros((steps + 2, 2, lanes), np.uint32)
-    written = np.zeros((steps + 2, 2, lanes), bool)
+    rows = _columns(ids, lengths)
+    steps, lanes = rows.shape
+    # A step writes two words at most, and four are left in the end.
+    room = 2 * steps + 4
+    words = np.empty(lanes * room, np.uint32)
+    starts = np.arange(lanes) * room
+    at = starts.copy()
     low, width = np.zeros(lanes, np.int64), np.full(lanes, WIDEST)
-    below0, own0 = _id_tables(order0)
+    id_table = _id_table(order0)
     models = _Models(lanes)
-    for now, word, has_word in zip(rows, words, written, strict=False):
-        upto1, upto2 = models.predict()
+    for now in rows:
+        models.predict()
         held1, held2 = models.p1 == now, models.p2 == now
-        lower = np.where(held2, 0, np.where(held1, upto1, upto2))
-        own = np.where(held2, upto1, np.where(held1, upto2, SYMBOLS)) - lower
+        symbol = ((2 - held1.view(np.int8)) * ~held2).astype(np.int64)
+        lower, own = models.span(symbol)
         key = np.where(held1 | held2, NO_ID, now)
+        part = id_table.take(key)
         unit = width >> BITS
-        low += unit * ((lower << ID_BITS) + own * below0.take(key))
-        width = unit * (own * own0.take(key))
-        models.update(now, held1, held2)
-        # At most two words are certain; the second one seldom is.
-        word[0] = low >> 40
-        out = np.less(width, FLOOR, out=has_word[0])
-        low = np.where(out, (low & FLOOR - 1) << 16, low)
-        width <<= out.astype(np.int64) << 4
+        lower <<= ID_BITS
+        lower += own * (part >> 32)
+        lower *= unit
+        low += lower
+        part &= OWN
+        part *= own
+        width = np.multiply(unit, part, out=unit)
+        models.update(now, held1, held2, symbol)
+        # A word that is not certain yet is overwritten by the next step; a second one seldom is certain.
+        words[at] = low >> 40
+        out = width < FLOOR
+        twice = out.astype(np.int64)
+        at += twice
+        twice <<= 4
+        low &= np.where(out, FLOOR - 1, -1)
+        low <<= twice
+        width <<= twice
         if width.min() < FLOOR:
             which = np.flatnonzero(width < FLOOR)
-            word[1, which], has_word[1, which] = low[which] >> 40, True
-            low[which] = (low[which] & FLOOR - 1) << 16
+            had = low[which]
+            words[at[which]] = had >> 40
+            at[which] += 1
+            low[which] = (had & FLOOR - 1) << 16
             width[which] <<= 16
-    words[steps:] = np.stack([low >> 40, low >> 24 & ONE, low >> 8 & ONE, low << 8 & ONE]).reshape(2, 2, lanes)
-    written[steps:] = True
-    words, written = words.reshape(-1, lanes).T, written.reshape(-1, lanes)
-    flat = words[written.T]
+    for i, left in enumerate((low >> 40, low >> 24 & ONE, low >> 8 & ONE, low << 8 & ONE)):
+        words[at + i] = left
+    at += 4
+    flat = np.concatenate([words[i:j] for i, j in zip(starts.tolist(), at.tolist(), strict=True)])
+    ends = np.cumsum(at - starts)
     carry = np.flatnonzero(flat >> 16)
     while len(carry):
         flat[carry] &= ONE
         flat[carry - 1] += 1
         carry = carry[flat[carry - 1] >> 16 > 0] - 1
-    ends = np.cumsum(written.sum(0))
-    return [part.tobytes() for part in np.split(flat.astype("<u2"), ends[:-1])]
+    data = flat.astype("<u2").tobytes()
+    return [data[2 * begin : 2 * end] for begin, end in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
 
 def decode(blocks: list[bytes], lengths: list[int], order0: np.ndarray) -> np.ndarray:
@@ -196,30 +283,39 @@ def decode(blocks: list[bytes], lengths: list[int], order0: np.ndarray) -> np.nd
     at = np.arange(lanes) * room + 4
     out = np.zeros((steps, lanes), np.int32)
     width = np.full(lanes, WIDEST)
-    below0, own0 = _id_tables(order0)
+    id_table = _id_table(order0)
     slots = np.repeat(np.arange(1 << 16, dtype=np.uint16), order0)
     models = _Models(lanes)
     for t in range(steps):
         upto1, upto2 = models.predict()
         unit = width >> BITS
         point = ((code >> np.uint64(8)) // unit.view(np.uint64)).view(np.int64)
-        point = np.minimum(point, (1 << BITS) - 1)
+        np.minimum(point, (1 << BITS) - 1, out=point)
         part = point >> ID_BITS
         is_first, new = part < upto1, part >= upto2
-        lower = np.where(is_first, 0, np.where(new, upto2, upto1))
-        own = np.where(is_first, upto1, np.where(new, SYMBOLS, upto2)) - lower
-        found = slots.take(((point - (lower << ID_BITS)) / own).astype(np.int64))
+        symbol = (1 - is_first.view(np.int8) + new.view(np.int8)).astype(np.int64)
+        lower, own = models.span(symbol)
+        lower <<= ID_BITS
+        point -= lower
+        found = slots.take((point / own).astype(np.int64))
         now = np.where(new, found, np.where(is_first, models.p2, models.p1))
-        key = np.where(new, now, NO_ID)
-        below = unit * ((lower << ID_BITS) + own * below0.take(key))
-        code -= (below << 8).view(np.uint64)
-        width = unit * (own * own0.take(key))
+        part = id_table.take(np.where(new, now, NO_ID))
+        lower += own * (part >> 32)
+        lower *= unit
+        lower <<= 8
+        code -= lower.view(np.uint64)
+        part &= OWN
+        part *= own
+        width = np.multiply(unit, part, out=unit)
         out[t] = now
-        models.update(now, models.p1 == now, models.p2 == now)
+        held1, held2 = models.p1 == now, models.p2 == now
+        models.update(now, held1, held2, symbol)
         more = width < FLOOR
+        twice = more.astype(np.int64)
         code = np.where(more, code << np.uint64(16) | words.take(at), code)
-        at += more
-        width <<= more.astype(np.int64) << 4
+        at += twice
+        twice <<= 4
+        width <<= twice
         if width.min() < FLOOR:
             which = np.flatnonzero(width < FLOOR)
             code[which] = code[which] << np.uint64(16) | words[at[which]]

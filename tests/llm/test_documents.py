@@ -1,8 +1,10 @@
 """Operators on documents against brute force, on odd rows and on empty tables."""
 
 import hashlib
+import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -260,6 +262,41 @@ def test_short_cuts_give_the_ids_of_the_library(monkeypatch):
         assert len(tokenizer._known) <= max(1, held)
 
 
+def test_marks_are_looked_up_once_per_kind():
+    import pyarrow as pa
+
+    class Counting(tokens.Known):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    words = ["".join(w) for w in itertools.product("abcdefgh", repeat=3)]
+    texts = pa.array([" ".join(w + m for w, m in zip(words, itertools.cycle([".", ",", "?!", ""])))])
+    tokenizer = tokens.Tokens(None)
+    tokenizer._known = Counting({"": 0})
+    ids, counts = tokenizer.ids(texts)
+    assert ids.tolist() == tokenizer._encode(texts.to_pylist())[0] and counts.tolist() == [len(ids)]
+    assert tokenizer._known.asked <= len(words) + 3
+
+
+def test_coder_keeps_its_format_in_little_memory():
+    from tallygrid.llm import idcoder
+
+    n = np.arange(1 << 18, dtype=np.uint64)
+    ids = (n * n * np.uint64(2654435761) >> np.uint64(13)).astype(np.int64) % (1 << 16)
+    ids[n % 3 > 0] %= 40
+    lengths, order0 = idcoder.block_lengths(len(ids), 1024), idcoder.frequencies(ids)
+    tracemalloc.start()
+    blocks = idcoder.encode(ids, lengths, order0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hashlib.sha256(b"".join(blocks)).hexdigest() == "7ffd7499327468dc7f8715fab102322a0b83385183241734e034ea4190f28583"
+    assert (idcoder.decode(blocks, lengths, order0) == ids).all()
+    assert peak <= 32 * len(ids)
+
+
 def test_coder_carries_and_repeats():
     from tallygrid.llm import idcoder
 
