@@ -48,7 +48,20 @@ SECTION_ENDS = "0123"
 
 def pieces(text: Column) -> Column:
     """Array of paragraphs, each an array of pieces; joined they are the text."""
-    return F.transform(F.split(text, PARAGRAPH), lambda p: F.split(p, PIECE))
+    cut = F.transform(F.split(text, PARAGRAPH), lambda p: F.split(p, PIECE))
+    # The pattern counts a character beyond the first plane as two and misses the cut behind it.
+    return F.transform(
+        cut,
+        lambda p: F.when(
+            F.exists(p, lambda x: F.length(x) > LONGEST), F.flatten(F.transform(p, _parts))
+        ).otherwise(p),
+    )
+
+
+def _parts(piece: Column) -> Column:
+    """A piece in parts of the greatest length; an empty one stays."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(piece), F.lit(1)), F.lit(LONGEST))
+    return F.transform(starts, lambda at: F.substring(piece, at, F.lit(LONGEST)))
 
 
 def fingerprinted(df: DataFrame, text: str, name: str) -> DataFrame:

@@ -217,6 +217,19 @@ def test_merkle_likeness_in_any_script(spark, letters):
     assert df.select(merkle.likeness(df.fa, df.fb)).scalar() >= 0.3
 
 
+def test_merkle_cuts_beyond_the_first_plane(spark):
+    wide = "\U00020000"
+    texts = [wide * 1025, "ab" + wide + "x" * 1200, "x" * 1200, "one two. " + wide * 600 + "\n" + wide, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "a string")
+    sizes = {}
+    for text, lines in df.select("a", merkle.pieces(F.col("a"))).collect():
+        assert "".join(p for line in lines for p in line) == text
+        sizes[text] = [[len(p) for p in line] for line in lines]
+    assert [sizes[t] for t in texts] == [
+        [[512, 512, 1]], [[512, 512, 179]], [[512, 512, 176]], [[9, 512, 89], [1]], [[0]],
+    ]
+
+
 def test_merkle_of_one_and_no_row(spark, none):
     assert merkle.merkle_table(none).count() == 0
     one = merkle.merkle_table(frame(spark, [row(1, "abcd")])).first()
